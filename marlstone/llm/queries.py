@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from . import neardup
+from . import lm, neardup
 
 QUERIES = {
+    "op6_maxent": (lm.op6_maxent, None),
     "op8_setsketch": (neardup.op8_setsketch, None),
 }
