@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import lm, neardup
+from . import lm, media, neardup
 
 QUERIES = {
+    "op1_progressive_jpeg": (media.op1_progressive_jpeg, None),
     "op6_maxent": (lm.op6_maxent, None),
     "op8_setsketch": (neardup.op8_setsketch, None),
 }
