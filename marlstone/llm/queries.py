@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import lm, media, neardup
+from . import lm, media, mixing, neardup
 
 QUERIES = {
     "op1_progressive_jpeg": (media.op1_progressive_jpeg, None),
     "op6_maxent": (lm.op6_maxent, None),
     "op8_setsketch": (neardup.op8_setsketch, None),
+    "op9_waterfill": (mixing.op9_waterfill, mixing.OP9_SQL),
 }
