@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import decontam, lm, media, mixing, neardup
+from . import decontam, lm, media, mixing, neardup, quality
 
 QUERIES = {
     "op1_progressive_jpeg": (media.op1_progressive_jpeg, None),
     "op6_maxent": (lm.op6_maxent, None),
+    "op7_crf": (quality.op7_crf, None),
     "op8_setsketch": (neardup.op8_setsketch, None),
     "op9_waterfill": (mixing.op9_waterfill, mixing.OP9_SQL),
     "op10_spaced_seeds": (decontam.op10_spaced_seeds, None),
