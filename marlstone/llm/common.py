@@ -96,15 +96,15 @@ def _power(step: int, n: int) -> np.ndarray:
 
 
 class Words:
-    """The words of a piece of texts: counts (of each text), starts (in data), hashes (64 bits, A-Z lower-cased), data (all bytes), offsets."""
+    """The words of a piece of texts: counts (of each text), starts (in data), hashes (64 bits, A-Z lower-cased), data (all bytes), offsets. space: per byte, whether it parts words."""
 
-    def __init__(self, texts: pa.Array):
+    def __init__(self, texts: pa.Array, space: np.ndarray = _SPACE):
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
         offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
         raw = texts.buffers()[2]
         data = np.frombuffer(raw, np.uint8)[offsets[0] : offsets[-1]] if raw is not None and offsets[-1] > offsets[0] else np.zeros(0, np.uint8)
         self.data, self.offsets = data, offsets - offsets[0]
-        solid = ~_SPACE[data]
+        solid = ~space[data]
         first = solid.copy()
         first[1:] &= ~solid[:-1]
         heads = self.offsets[:-1][self.offsets[:-1] < len(data)]
@@ -114,11 +114,22 @@ class Words:
         at = np.searchsorted(self.starts, self.offsets)
         self.counts = np.diff(at)
         if len(self.starts):
-            h = np.add.reduceat(_BYTE[data] * _power(_STEP, len(data))[: len(data)], self.starts)
-            self.hashes = mix64(h * _power(pow(_STEP, -1, 1 << 64), len(data))[self.starts])
+            self._terms = np.where(space, np.uint64(0), _BYTE)[data] * _power(_STEP, len(data))[: len(data)]
+            self.hashes = self._normal(np.add.reduceat(self._terms, self.starts), self.starts)
         else:
             self.hashes = np.zeros(0, np.uint64)
 
+    def _normal(self, sums: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        return mix64(sums * _power(pow(_STEP, -1, 1 << 64), len(self.data))[starts])
+
+    def prefixes(self, at: np.ndarray, size: int) -> np.ndarray:
+        """Hashes of the first `size` bytes of the words with the given numbers, which have that many: as of a word of these bytes."""
+        starts = self.starts[at]
+        total = np.zeros(len(at), np.uint64)
+        for j in range(size):
+            total += self._terms[starts + j]
+        return self._normal(total, starts)
+
     def lengths(self) -> np.ndarray:
         """Bytes of each word."""
         return np.add.reduceat(self.solid.view(np.uint8), self.starts, dtype=np.int64) if len(self.starts) else np.zeros(0, np.int64)
