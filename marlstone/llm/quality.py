@@ -207,6 +207,18 @@ def score(docs: DataFrame, model: dict | None, id_col: str = "doc_id", text_col:
     return rows.mapInArrow(run, f"{id_col} long, held_out boolean, score double, predicted int, n_lines long")
 
 
+def keep(docs: DataFrame, model: dict | None, text_col: str = "text", least: float = 0.3) -> DataFrame:
+    """The rows, with all their columns, that are predicted good; all of them without a model."""
+    schema = docs.schema
+
+    def run(batches):
+        for batch in pieces(batches, column=text_col):
+            x, size, counts = line_features(batch.column(text_col))
+            yield batch.filter(pa.array(1 / (1 + np.exp(-(model["a"] * _raw(model, x, size, counts) + model["b"]))) >= least))
+
+    return docs if model is None else docs.mapInArrow(run, schema)
+
+
 def op7_crf(spark, sf_dir: str) -> DataFrame:
     from .common import table
 

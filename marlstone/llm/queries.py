@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import decontam, lm, media, mixing, neardup, quality
+from . import decontam, lm, media, mixing, neardup, quality, toxicity
 
 QUERIES = {
     "op1_progressive_jpeg": (media.op1_progressive_jpeg, None),
+    "op3_segments": (toxicity.op3_segments, None),
     "op6_maxent": (lm.op6_maxent, None),
     "op7_crf": (quality.op7_crf, None),
     "op8_setsketch": (neardup.op8_setsketch, None),

@@ -227,6 +227,19 @@ def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col
     return rows.mapInArrow(run, f"{id_col} long, held_out boolean, score double, predicted int, passages array<struct<first:long,last:long,score:double>>")
 
 
+def keep(docs: DataFrame, model: Model | None, text_col: str = "text", least: float = 0.7) -> DataFrame:
+    """The rows, with all their columns, that are not predicted toxic; all of them without a model."""
+    schema = docs.schema
+
+    def run(batches):
+        for batch in pieces(batches, column=text_col):
+            segments = model.segments(batch.column(text_col))
+            p = [model.probability([s for _, _, s in x], n) for x, n in zip(segments, model.sizes.tolist())]
+            yield batch.filter(pa.array(np.array(p) < least))
+
+    return docs if model is None else docs.mapInArrow(run, schema)
+
+
 def op3_segments(spark, sf_dir: str) -> DataFrame:
     from .common import table
 
