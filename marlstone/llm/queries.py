@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import decontam, lm, media, mixing, neardup, quality, toxicity, warc
+from . import decontam, licenses, lm, media, mixing, neardup, quality, toxicity, warc
 
 QUERIES = {
     "op1_progressive_jpeg": (media.op1_progressive_jpeg, None),
     "op3_segments": (toxicity.op3_segments, None),
     "op4_salvage": (warc.op4_salvage, warc.OP4_SQL),
+    "op5_licenses": (licenses.op5_licenses, None),
     "op6_maxent": (lm.op6_maxent, None),
     "op7_crf": (quality.op7_crf, None),
     "op8_setsketch": (neardup.op8_setsketch, None),
