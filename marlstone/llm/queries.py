@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import decontam, licenses, lm, media, mixing, neardup, quality, toxicity, warc
+from . import chat, decontam, licenses, lm, media, mixing, neardup, quality, toxicity, warc
 
 QUERIES = {
     "op1_progressive_jpeg": (media.op1_progressive_jpeg, None),
+    "op2_viterbi": (chat.op2_viterbi, None),
     "op3_segments": (toxicity.op3_segments, None),
     "op4_salvage": (warc.op4_salvage, warc.OP4_SQL),
     "op5_licenses": (licenses.op5_licenses, None),
