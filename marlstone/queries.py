@@ -2,4 +2,6 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
+from marlstone.operators import book
+
+QUERIES: dict = {**book.QUERIES}
