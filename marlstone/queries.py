@@ -2,6 +2,6 @@
 
 from __future__ import annotations
 
-from marlstone.operators import book
+from marlstone.operators import book, scalars
 
-QUERIES: dict = {**book.QUERIES}
+QUERIES: dict = {**book.QUERIES, **scalars.QUERIES}
