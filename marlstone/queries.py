@@ -2,6 +2,6 @@
 
 from __future__ import annotations
 
-from marlstone.operators import book, scalars
+from marlstone.operators import book, pages, scalars
 
-QUERIES: dict = {**book.QUERIES, **scalars.QUERIES}
+QUERIES: dict = {**book.QUERIES, **scalars.QUERIES, **pages.QUERIES}
