@@ -2,6 +2,6 @@
 
 from __future__ import annotations
 
-from marlstone.operators import book, pages, scalars
+from marlstone.operators import book, candidates, pages, scalars, trial
 
-QUERIES: dict = {**book.QUERIES, **scalars.QUERIES, **pages.QUERIES}
+QUERIES: dict = {**book.QUERIES, **scalars.QUERIES, **pages.QUERIES, **candidates.QUERIES, **trial.QUERIES}
