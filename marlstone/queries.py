@@ -2,6 +2,6 @@
 
 from __future__ import annotations
 
-from marlstone.operators import book, candidates, checks, lookup, output, pages, scalars, trial
+from marlstone.operators import book, candidates, checks, lookup, output, pages, scalars, trial, votes
 
-QUERIES: dict = {**book.QUERIES, **scalars.QUERIES, **pages.QUERIES, **candidates.QUERIES, **trial.QUERIES, **checks.QUERIES, **output.QUERIES, **lookup.QUERIES}
+QUERIES: dict = {**book.QUERIES, **scalars.QUERIES, **pages.QUERIES, **candidates.QUERIES, **trial.QUERIES, **checks.QUERIES, **output.QUERIES, **lookup.QUERIES, **votes.QUERIES}
