@@ -115,7 +115,7 @@ class Model:
         """(best over r of -log P that the r best segments sum so high by chance, share of it by the best alone)."""
         space = math.log(max(self.k * max(n, 1), 1e-9))
         best, total, out = 0.0, 0.0, 0.0
-        for r, s in enumerate(sorted(scores, reverse=True)[:64], 1):
+        for r, s in enumerate(sorted(scores, reverse=True), 1):
             total += self.lam * s - space
             if total <= 0:
                 break

@@ -81,7 +81,7 @@ def _record_at(data: bytes, at: int) -> tuple[dict, int]:
     """The record that begins there, checked, and where it ends."""
     if not re.compile(rb"WARC/1\.\d\r\n").match(data, at):
         raise _Damage("no version line")
-    stop = data.find(b"\r\n\r\n", at, at + 65536)
+    stop = data.find(b"\r\n\r\n", at)
     if stop < 0:
         raise _Damage("header does not end")
     head = {}
