@@ -96,11 +96,11 @@ def identified(pages: DataFrame, institutions: DataFrame) -> DataFrame:
 
 
 def nearest_row(names: DataFrame, rows: DataFrame, least: float = 0.85) -> DataFrame:
-    """Existing row of a name: equal key, else the best sequence ratio, .90 at least where one holds the other."""
+    """Existing row of a name: equal key, else the best sequence ratio, .90 at least where one holds the other. rows are a template's institutions, tens of them."""
     a = names.select("name", text.name_key(F.col("name")).alias("k"))
     b = rows.select("existing", text.name_key(F.col("existing")).alias("e"))
     r = text.sequence_ratio(F.col("k"), F.col("e"))
-    pairs = a.crossJoin(F.broadcast(b)).withColumn("ratio", F.when(F.col("k") == F.col("e"), 1.0).otherwise(F.greatest(r, F.when(F.contains("k", F.col("e")) | F.contains("e", F.col("k")), 0.9).otherwise(0.0))))
+    pairs = a.crossJoin(b).withColumn("ratio", F.when(F.col("k") == F.col("e"), 1.0).otherwise(F.greatest(r, F.when(F.contains("k", F.col("e")) | F.contains("e", F.col("k")), 0.9).otherwise(0.0))))
     best = pairs.groupBy("name").agg(F.max(F.struct("ratio", "existing")).alias("b"))
     return best.select("name", F.when(F.col("b.ratio") >= least, F.col("b.existing")).alias("existing"))
 

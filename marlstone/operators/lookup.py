@@ -27,7 +27,7 @@ def to_learn(wanted: DataFrame, held: DataFrame) -> DataFrame:
 
 def advice(asked: DataFrame, specific: DataFrame, default: DataFrame, traits: DataFrame) -> DataFrame:
     """Advice by (sign, role), else by role, else by sign."""
-    a = asked.join(F.broadcast(specific.select("sign", "role", F.col("text").alias("a"))), ["sign", "role"], "left").join(F.broadcast(default.select("role", F.col("text").alias("b"))), "role", "left").join(F.broadcast(traits.select("sign", F.col("text").alias("c"))), "sign", "left")
+    a = asked.join(specific.select("sign", "role", F.col("text").alias("a")), ["sign", "role"], "left").join(default.select("role", F.col("text").alias("b")), "role", "left").join(traits.select("sign", F.col("text").alias("c")), "sign", "left")
     return a.select("i", F.coalesce("a", "b", "c").alias("text"))
 
 
