@@ -29,16 +29,17 @@ END = CLASSES - 1
 START = END  #: what stands before the first word
 ROWS = 1 << 13  #: hashed feature rows
 ROUNDS = 12  #: gradient updates
-PIECE = 8 << 20  #: bytes of text that share a local vocabulary
+PIECE = 4 << 20  #: bytes of text that share a local vocabulary
+HASHED = 1 << 20  #: bytes of text that are hashed at a time
 
 
-def _classes(w: Words, at: np.ndarray) -> np.ndarray:
-    """Class of the words with the given numbers: by their last two bytes, A-Z lower-cased."""
-    low = w.data.copy()
-    low[(low >= 65) & (low <= 90)] += 32
-    length = w.lengths()[at]
-    end = w.starts[at] + length - 1
-    last, before = low[end].astype(np.uint32), np.where(length > 1, low[np.maximum(end - 1, 0)], 0).astype(np.uint32)
+def _classes(w: Words) -> np.ndarray:
+    """Class of every word: by its last two bytes, A-Z lower-cased."""
+    length = w.lengths()
+    end = w.starts + length - 1
+    last, before = w.data[end].astype(np.uint32), np.where(length > 1, w.data[np.maximum(end - 1, 0)], 0).astype(np.uint32)
+    for x in (last, before):
+        x[(x >= 65) & (x <= 90)] += 32
     return (((last * np.uint32(257) + before + np.uint32(1)) * np.uint32(2654435769) >> np.uint32(16)) % np.uint32(CLASSES - 1)).astype(np.uint8)
 
 
@@ -58,12 +59,17 @@ def _tokenised(docs: DataFrame, id_col: str, text_col: str, held: int, k: int) -
     def run(batches):
         base, n = (TaskContext.get().partitionId() + 1) << 32, 0
         for batch in pieces(batches, PIECE):
-            w = Words(batch.column("text"))
-            hashes, first, local = np.unique(w.hashes, return_index=True, return_inverse=True)
+            hashed, kinds, counts = [], [], []
+            for part in pieces([batch], HASHED):
+                w = Words(part.column("text"))
+                hashed.append(w.hashes)
+                kinds.append(_classes(w))
+                counts.append(w.counts.astype(np.int32))
+            hashes, first, local = np.unique(np.concatenate(hashed), return_index=True, return_inverse=True)
             ids = batch.column("id")
             row = {
                 "piece": base + n, "ids": _pack(ids.fill_null(0).to_numpy()), "missing": _pack(ids.is_null().to_numpy(zero_copy_only=False)), "train": _pack(batch.column("train").to_numpy(zero_copy_only=False)),
-                "counts": _pack(w.counts.astype(np.int32)), "tokens": _pack(local.astype(np.int32)), "hashes": hashes.tobytes(), "classes": (_classes(w, first) if len(first) else np.zeros(0, np.uint8)).tobytes(),
+                "counts": _pack(np.concatenate(counts)), "tokens": _pack(local.astype(np.int32)), "hashes": hashes.tobytes(), "classes": np.concatenate(kinds)[first].tobytes(),
             }
             n += 1
             yield pa.RecordBatch.from_pylist([row], schema=schema)
