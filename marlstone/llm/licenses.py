@@ -2,9 +2,11 @@
 
 A sparse multinomial logistic regression on word unigrams and bigrams is fitted on the driver from the constant notices
 below, cut into pieces, against an unknown class made of ordinary and licence-like sentences; a temperature and the
-unknown class's offset are calibrated on held-out pieces. Its weights are a literal of bounded size. A paragraph is a
-line; it counts as family f if f is the likeliest class, with probability LEAST or more, and the paragraph holds SHARE or
-more of the words of one of f's notices. Every notice has an anchor word, and a paragraph without one is not looked at.
+unknown class's offset are calibrated on held-out pieces. Its weights are a literal of bounded size. Looked at are all
+lines, and all paragraphs (lines up to a blank one) of several lines, joined, so that wrapped notices count. Either counts
+as family f if f is the likeliest class, with probability LEAST or more, and it holds SHARE or more of the words of one
+of f's notices; a paragraph only if none of its own lines has family f. Texts and lines without anchor or any word of
+_needed() are passed over: whatever holds SHARE of a notice's words holds one of them.
 
 Every document is one row, without any shuffle. Rows: null and empty texts have no families; ids may be null or repeated;
 repeated lines count each time; an empty table gives no rows; other columns are ignored.
@@ -67,6 +69,7 @@ NOTICES = {
     "proprietary": (
         "Copyright. All rights reserved. No part of this document may be reproduced without written permission.",
         "Proprietary and confidential. Unauthorised copying of this file is prohibited without the permission of the copyright holder.",
+        "All rights reserved.",
     ),
 }
 #: The unknown class.
@@ -140,8 +143,8 @@ def _literal(words: list[str]) -> str:
     return f"array({', '.join(repr(w) for w in words)})"
 
 
-def _classified(paragraph: Column) -> Column:
-    """Struct (family, probability, share) of one paragraph."""
+def _classified(paragraph: Column, always: Column) -> Column:
+    """Struct (family, probability, share) of one lower-cased paragraph; null where it is not to be classified always and holds SHARE of no notice."""
     names, weights, bias = trained()
     table = F.expr(f"map_from_arrays({_literal(list(weights))}, array({', '.join(_numbers(v) for v in weights.values())}))")
     notices = F.expr(f"array({', '.join('array(' + ', '.join(_literal(sorted(set(_tokens(s)))) for s in NOTICES[n]) + ')' for n in names[:-1])}, array(array('\\u0001')))")
@@ -153,35 +156,81 @@ def _classified(paragraph: Column) -> Column:
     def logits(words: Column) -> Column:
         return F.aggregate(grams(words), F.expr(_numbers(bias)), lambda acc, g: _let(F.try_element_at(table, g), lambda w: F.when(w.isNull(), acc).otherwise(F.zip_with(acc, w, lambda a, b: a + b))))
 
+    def held(t: Column, words: Column) -> Column:
+        return F.size(F.array_intersect(t, words)) / F.size(t)
+
     def verdict(words: Column) -> Column:
         def chosen(z: Column) -> Column:
             best = F.array_max(z)
             total = F.aggregate(z, F.lit(0.0), lambda s, v: s + F.exp(v - best))
             k = F.array_position(z, best).cast("int")
-            share = F.array_max(F.transform(F.element_at(notices, k), lambda t: F.size(F.array_intersect(t, words)) / F.size(t)))
+            share = F.array_max(F.transform(F.element_at(notices, k), lambda t: held(t, words)))
             name = F.element_at(F.expr(_literal(list(names))), k)
             known = (1 / total >= LEAST) & (share >= SHARE) & (name != "unknown")
             return F.struct(F.when(known, name).otherwise(F.lit("unknown")).alias("family"), F.round(1 / total, 6).alias("probability"), F.round(share, 6).alias("share"))
 
-        return _let(logits(words), chosen)
+        near = lambda own: F.exists(F.flatten(notices), lambda t: held(t, own) >= SHARE)
+        return F.when(always | _let(F.array_intersect(words, F.array_distinct(F.flatten(F.flatten(notices)))), near), _let(logits(words), chosen))
+
+    return _let(F.regexp_extract_all(paragraph, F.lit(f"({_WORD})"), 1), verdict)
+
 
-    return _let(F.regexp_extract_all(F.lower(paragraph), F.lit(f"({_WORD})"), 1), verdict)
+@functools.cache
+def _needed() -> tuple[str, ...]:
+    """Beginnings of words, one of which is in every lower-cased text that holds SHARE of the words of some notice: of each notice, so many of its longest words that those left are fewer than SHARE."""
+    some: set[str] = set()
+    for notice in (s for n in NOTICES.values() for s in n):
+        words = sorted(set(_tokens(notice)), key=lambda w: (-len(w), w))
+        least = next(k for k in range(len(words) + 1) if k / len(words) >= SHARE)
+        some |= set(words[: len(words) - least + 1])
+    return tuple(sorted(w for w in some if not any(v != w and w.startswith(v) for v in some)))
 
 
-def _anchored(c: Column) -> Column:
-    low = F.lower(c)
+def _anchored(low: Column) -> Column:
     return functools.reduce(lambda a, b: a | b, (F.contains(low, F.lit(a)) for a in ANCHORS))
 
 
+def _worth(low: Column) -> Column:
+    """Whether a lower-cased text has an anchor or a needed word; what stands before a word is never a letter."""
+    by: dict[str, list[str]] = {}
+    for w in _needed():
+        if not any(a in w for a in ANCHORS):
+            by.setdefault(w[0], []).append(re.escape(w[1:]))
+    return _anchored(low) | F.rlike(low, F.lit("(?:^|[^a-z])(?:" + "|".join(f"{c}(?:{'|'.join(rest)})" for c, rest in by.items()) + ")"))
+
+
+def _paragraphs(lines: Column) -> Column:
+    """Structs (line, text, parts) of the paragraphs of two lines or more: the first line's number, all lines joined, how many they are."""
+    blank = lambda i: F.trim(F.translate(F.coalesce(F.get(lines, i), F.lit("")), "\t\r", "  ")) == ""
+    every = F.sequence(F.lit(0), F.size(lines) - 1)
+    starts = F.filter(every, lambda i: ~blank(i) & blank(i - 1))
+    ends = F.filter(every, lambda i: ~blank(i) & blank(i + 1))
+    spans = F.filter(F.arrays_zip(starts.alias("a"), ends.alias("b")), lambda x: x["b"] > x["a"])
+    return F.transform(spans, lambda x: F.struct(x["a"].alias("line"), F.array_join(F.slice(lines, x["a"] + 1, x["b"] - x["a"] + 1), " ").alias("text"), (x["b"] - x["a"] + 1).alias("parts")))
+
+
 def license_families(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, families, paragraphs): paragraphs holds (line, family, probability, share) of every line with an anchor word."""
+    """(id, families, paragraphs): paragraphs holds (line, family, probability, share) of every line that has an anchor word or a family, and of paragraphs that have a family their lines lack."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    numbered = lambda t: F.transform(F.split(t, "\n"), lambda p, i: F.struct(i.alias("line"), p.alias("text")))
-    lines = F.when(_anchored(text), F.filter(numbered(text), lambda p: _anchored(p["text"])))
-    found = F.transform(lines, lambda p: F.struct(p["line"].alias("line"), _classified(p["text"]).alias("v")))
-    flat = F.transform(found, lambda r: F.struct(r["line"].alias("line"), r["v"]["family"].alias("family"), r["v"]["probability"].alias("probability"), r["v"]["share"].alias("share")))
-    empty = F.expr("filter(array(named_struct('line', 0, 'family', '', 'probability', 0D, 'share', 0D)), x -> false)")
-    df = docs.select(F.col(id_col).alias(id_col), F.coalesce(flat, empty).alias("paragraphs"))
+    empty = F.expr("filter(array(named_struct('line', 0, 'family', '', 'probability', 0D, 'share', 0D, 'last', 0)), x -> false)")
+    row = lambda p, always: _let(_classified(p["text"], always), lambda v: F.struct(p["line"].alias("line"), v["family"].alias("family"), v["probability"].alias("probability"), v["share"].alias("share"), (p["line"] + p["parts"] - 1).alias("last")))
+    worth = lambda p: _worth(p["text"])
+
+    def judged(lines: Column) -> Column:
+        numbered = F.transform(lines, lambda p, i: F.struct(i.alias("line"), p.alias("text"), F.lit(1).alias("parts")))
+        seen = F.transform(F.filter(numbered, worth), lambda p: _let(_anchored(p["text"]), lambda a: F.struct(a.alias("anchored"), row(p, a).alias("v"))))
+        single = F.transform(F.filter(seen, lambda x: x["anchored"] | (x["v"]["family"] != "unknown")), lambda x: x["v"])
+
+        def with_joined(own: Column) -> Column:
+            joined = F.transform(F.filter(_paragraphs(lines), worth), lambda p: row(p, F.lit(False)))
+            fresh = lambda j: (j["family"] != "unknown") & ~F.exists(own, lambda o: (o["family"] == j["family"]) & (o["line"] >= j["line"]) & (o["line"] <= j["last"]))
+            return F.concat(own, F.filter(joined, fresh))
+
+        return _let(single, with_joined)
+
+    found = _let(F.lower(text), lambda low: F.when(_worth(low), _let(F.split(low, "\n"), judged)))
+    flat = F.transform(F.coalesce(found, empty), lambda v: F.struct(*(v[c].alias(c) for c in ("line", "family", "probability", "share"))))
+    df = docs.select(F.col(id_col).alias(id_col), flat.alias("paragraphs"))
     families = F.array_sort(F.array_distinct(F.transform(F.filter("paragraphs", lambda p: p["family"] != "unknown"), lambda p: p["family"])))
     return df.select(id_col, families.alias("families"), "paragraphs")
 

@@ -296,6 +296,28 @@ def test_licences(spark, docs, nothing):
     assert licenses.license_families(nothing).count() == 0
 
 
+def test_licences_wrapped_and_short(spark):
+    wrapped = {
+        "mpl": "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy of the MPL was not distributed with this\nfile, You can obtain one at https://mozilla.org/MPL/2.0/.",
+        "mit": "Permission is hereby granted, free of charge, to any person obtaining\na copy of this software and associated documentation files to deal in\nthe Software without restriction.",
+        "proprietary": "All rights reserved.",
+    }
+    texts = [*wrapped.values(), *(f"Some words before.\n\n{t}\n \t\nSome words after." for t in wrapped.values())]
+    prose = ["All human rights\nwere debated.", "The rights of all\npeople.\n\nA table reserved."]
+    d = spark.createDataFrame(list(enumerate([*texts, *prose])), "doc_id long, text string")
+    got = {r.doc_id: r.families for r in licenses.license_families(d).collect()}
+    assert [got[i] for i in range(len(got))] == [[f] for f in wrapped] * 2 + [[], []]
+    assert all(any(p.family != "unknown" for p in r.paragraphs) for r in licenses.license_families(d.where("doc_id < 6")).collect())
+
+
+def test_licence_prefilter_drops_nothing():
+    """Without all its needed words, a notice has too few words left to be confirmed."""
+    for s in (s for n in licenses.NOTICES.values() for s in n):
+        words = set(licenses._tokens(s))
+        left = [w for w in words if not w.startswith(licenses._needed())]
+        assert len(left) / len(words) < licenses.SHARE
+
+
 # ---- 6 language model
 
 
