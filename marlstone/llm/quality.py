@@ -2,7 +2,7 @@
 
 Every line gets features of its bytes and words, and those of its neighbours; a two-state chain (bad, good) with
 learned transitions labels all lines at once. Training maximises the conditional likelihood of the lines' labels, by
-full-batch gradient steps with forward-backward in numpy, on the lines of a bounded sample of labelled documents; a
+full-batch gradient steps with forward-backward in numpy, on all lines of a bounded sample of labelled documents; a
 line's label is its document's. A document's score is the length-weighted mean of its lines' forward-backward marginals,
 calibrated by a logistic on the training documents.
 
@@ -20,7 +20,6 @@ from pyspark.sql import functions as F
 from .common import Words, pieces, remainder
 
 FIT_ROWS = 3000  #: labelled documents that the model is fitted on, at most: those whose ids hash lowest
-FIT_LINES = 200  #: lines of each of them that training looks at (scoring looks at all)
 STEPS = 150
 OWN = 14  #: features of a line by itself
 
@@ -123,8 +122,8 @@ def forward_backward(scores: np.ndarray, moves: np.ndarray, counts: np.ndarray)
     return p, pair.sum(0), float(z.sum())
 
 
-def fit(x: np.ndarray, counts: np.ndarray, labels: np.ndarray, steps: int = STEPS) -> dict:
-    """Weights of state 1 against state 0, moves, and scaling; labels per document."""
+def fit(x: np.ndarray, size: np.ndarray, counts: np.ndarray, labels: np.ndarray, steps: int = STEPS) -> dict:
+    """Weights of state 1 against state 0, moves, and scaling; size: bytes per line, labels per document."""
     mean, sd = x.mean(0), x.std(0)
     mean[2 * OWN], sd[sd < 1e-9] = 0, 1
     z = (x - mean) / sd
@@ -147,7 +146,7 @@ def fit(x: np.ndarray, counts: np.ndarray, labels: np.ndarray, steps: int = STEP
         m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad * grad
         params = params + 0.08 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-8)
     model = {"mean": mean, "sd": sd, "w": params[:-4], "moves": params[-4:].reshape(2, 2), "a": 1.0, "b": 0.0}
-    raw = _raw(model, x, np.ones(len(x)), counts)
+    raw = _raw(model, x, size, counts)
     # logistic calibration of the documents' means, by Newton steps
     a, b = 1.0, 0.0
     share = labels.mean()
@@ -178,17 +177,18 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     def run(batches):
         for batch in pieces(batches):
-            x, _, counts = line_features(batch.column("text"))
+            x, size, counts = line_features(batch.column("text"))
             first = np.cumsum(counts) - counts
-            out = [x[a : a + min(c, FIT_LINES)].astype(np.float32).tobytes() for a, c in zip(first.tolist(), counts.tolist())]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("label"), pa.array(out, pa.binary())], names=["doc_id", "label", "x"])
+            both = [(x[a : a + c].astype(np.float32).tobytes(), size[a : a + c].astype(np.int64).tobytes()) for a, c in zip(first.tolist(), counts.tolist())]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("label"), pa.array([b[0] for b in both], pa.binary()), pa.array([b[1] for b in both], pa.binary())], names=["doc_id", "label", "x", "size"])
 
-    got = sample.select("doc_id", "label", "text").mapInArrow(run, "doc_id long, label int, x binary").toArrow().sort_by("doc_id")
+    got = sample.select("doc_id", "label", "text").mapInArrow(run, "doc_id long, label int, x binary, size binary").toArrow().sort_by("doc_id")
     if not got.num_rows:
         return None
-    each = sorted({(i, y, x) for i, y, x in zip(got.column("doc_id").to_pylist(), got.column("label").to_pylist(), got.column("x").to_pylist())})
+    each = sorted(set(zip(*(got.column(c).to_pylist() for c in ("doc_id", "label", "x", "size")))))
     x = [np.frombuffer(e[2], np.float32).reshape(-1, 2 * OWN + 3) for e in each]
-    return fit(np.concatenate(x).astype(np.float64), np.array([len(v) for v in x]), np.array([e[1] for e in each]))
+    size = np.concatenate([np.frombuffer(e[3], np.int64) for e in each])
+    return fit(np.concatenate(x).astype(np.float64), size, np.array([len(v) for v in x]), np.array([e[1] for e in each]))
 
 
 def score(docs: DataFrame, model: dict | None, id_col: str = "doc_id", text_col: str = "text", k: int = 5, held: int = 0, least: float = 0.3) -> DataFrame:

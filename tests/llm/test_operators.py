@@ -247,6 +247,15 @@ def test_forward_backward_sums_over_all_paths():
     assert abs(pairs[1, 0] - sum(v * sum(a == 1 and b == 0 for a, b in zip(q, q[1:])) for q, v in paths.items()) / z) < 1e-9
 
 
+def test_quality_learns_from_all_lines(spark):
+    """Documents that differ only after their 250th line, where a few long lines hold most bytes."""
+    head = "\n".join("A plain line of words that all texts share." for _ in range(250))
+    tails = ("\n".join("$$$ ### %%% ||| " * 30 for _ in range(100)), "\n".join("The last part goes on with good words, one after another. " * 8 for _ in range(100)))
+    d = spark.createDataFrame([(i, f"{head}\n{tails[i % 2]}") for i in range(60)], "doc_id long, text string")
+    model = quality.learn(d, spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, quality int"))
+    assert all(r.predicted == r.doc_id % 2 for r in quality.score(d, model).collect())
+
+
 # ---- 4 WARC
 
 
