@@ -95,10 +95,12 @@ class Model:
             return out
         s = self.log_odds(w)
         x = np.where(np.abs(s) < NEUTRAL, -DRIFT, s - DRIFT)
-        x[1:][w.hashes[1:] == w.hashes[:-1]] = -DRIFT  # a word said over and over is said once
+        ends = np.cumsum(w.counts)
+        again = np.concatenate(([False], w.hashes[1:] == w.hashes[:-1]))
+        again[ends[ends < len(again)]] = False  # the first word of a text repeats none of the text before
+        x[again] = -DRIFT  # a word said over and over is said once
         total = np.concatenate(([0.0], np.cumsum(x)))
         ups = np.flatnonzero(x > 0)
-        ends = np.cumsum(w.counts)
         doc = np.searchsorted(ends, ups, side="right")
         cuts = np.flatnonzero(np.diff(doc)) + 1
         for part in np.split(ups, cuts):

@@ -9,6 +9,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import rows_of
 
@@ -247,6 +248,19 @@ def test_forward_backward_sums_over_all_paths():
     assert abs(pairs[1, 0] - sum(v * sum(a == 1 and b == 0 for a, b in zip(q, q[1:])) for q, v in paths.items()) / z) < 1e-9
 
 
+def test_repeats_do_not_cross_texts():
+    """Copies of a one-word text, and texts that begin as the one before ends, get the segments they get alone; within a text a repeated word counts once."""
+    w = Words(pa.array(["vermin"]), toxicity._NOT_LETTER)
+    h = np.unique(np.concatenate([h for _, h in toxicity._features(w, np.array([0]))]))
+    model = toxicity.Model(h, np.full(len(h), 50), np.zeros(len(h)), 0.1)
+    texts = ["vermin", "vermin", "", None, "vermin", "vermin here vermin", "vermin here vermin", "vermin vermin"]
+    got = model.segments(pa.array(texts))
+    alone = [model.segments(pa.array([t], pa.string()))[0] for t in texts]
+    same = lambda a, b: [(x[:2], round(x[2], 9)) for x in a] == [(x[:2], round(x[2], 9)) for x in b]
+    assert got[0] and all(same(a, b) for a, b in zip(got, alone))
+    assert round(sum(v for _, _, v in got[7]), 9) == round(got[0][0][2], 9)
+
+
 def test_quality_learns_from_all_lines(spark):
     """Documents that differ only after their 250th line, where a few long lines hold most bytes."""
     head = "\n".join("A plain line of words that all texts share." for _ in range(250))
