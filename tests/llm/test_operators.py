@@ -473,6 +473,25 @@ def test_decontamination(spark, docs, nothing, monkeypatch, small):
     assert decontam.contaminated(d, items.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("small", [200_000, 0])
+def test_decontamination_of_short_items_and_regular_substitutions(spark, monkeypatch, small):
+    monkeypatch.setattr(decontam, "SMALL", small)
+    name = lambda n: [f"n{n}w{i}" for i in range(n)]
+    every = [w if i % 4 else "other" for i, w in enumerate(name(30))]
+    rows = [(n, "before " + " ".join(name(n)) + " after") for n in range(1, 10)] + [(30, " ".join(every)), (77, "x n7w0 n7w1 n7w2 x n7w4 n7w5 n7w6 x")]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    items = spark.createDataFrame([(n, " ".join(name(n))) for n in (*range(1, 10), 30)], "item_id long, text string")
+    got = sorted((r.doc_id, r.item_id, r.score) for r in decontam.contaminated(d, items).collect())
+    assert got == [*((n, n, n) for n in range(1, 10)), (30, 30, 15), (77, 7, 5)]
+
+
+def test_short_masks_hit_all_that_is_accepted():
+    for n in range(1, decontam.SHORT):
+        for p in np.ndindex(*[2] * n):
+            if decontam._best(p) >= decontam.SHARE * n:
+                assert decontam._hit(p, (*decontam.MASKS, *decontam.short_masks(n)))
+
+
 def test_words_are_those_of_the_contract(texts):
     import pyarrow as pa
 
