@@ -3,7 +3,8 @@
 Archives are bytes in rows (archive, content), gzip member per record, in tables that any Spark sink can hold; the reader
 takes such rows from anywhere, for instance from Spark's binaryFile source, compressed or plain. When a member or record
 fails its checks (gzip checksum, version line, header, length, end mark, block digest, payload digest), the reader looks
-for the next place where a valid member or a version line begins, goes on there, and reports the bytes between as a gap.
+for the next place where a valid member or a version line begins, goes on there, and reports the bytes between as a gap; inside an
+inflated member, or what inflates of a broken one, it does the same.
 
 Of records with equal payloads of at least LEAST bytes, the one with the largest page id is a response and all others
 revisit it; smaller ones are all responses. Rows: a null html is an empty payload; a null page id counts as smaller than
@@ -73,13 +74,19 @@ def archives(records: DataFrame) -> DataFrame:
     return written(ordered.mapInArrow(run, "archive string, content binary"), "warc")
 
 
+_CUT = "gzip: member is cut off"
+
+
 class _Damage(ValueError):
     pass
 
 
-def _record_at(data: bytes, at: int) -> tuple[dict, int]:
-    """The record that begins there, checked, and where it ends."""
-    if not re.compile(rb"WARC/1\.\d\r\n").match(data, at):
+_VERSION = re.compile(rb"WARC/1\.\d\r\n")
+
+
+def _record_at(data: bytes, at: int, digest: bool = False) -> tuple[dict, int]:
+    """The record that begins there, checked, and where it ends; digest: it needs a block digest."""
+    if not _VERSION.match(data, at):
         raise _Damage("no version line")
     stop = data.find(b"\r\n\r\n", at)
     if stop < 0:
@@ -98,6 +105,8 @@ def _record_at(data: bytes, at: int) -> tuple[dict, int]:
         raise _Damage("record does not end where its length says")
     block = data[begin:end]
     want = head.get("warc-block-digest", "")
+    if digest and not (want.startswith("sha1:") and len(want) == 45):
+        raise _Damage("no block digest in a broken member")
     if want.startswith("sha1:") and len(want) == 45 and hashlib.sha1(block).hexdigest() != want[5:].lower():
         raise _Damage("block digest differs")
     kind = head.get("warc-type", "")
@@ -111,52 +120,90 @@ def _record_at(data: bytes, at: int) -> tuple[dict, int]:
     return {"type": kind, "id": head.get("warc-record-id"), "uri": head.get("warc-target-uri"), "refers_to": head.get("warc-refers-to"), "payload": payload, "payload_bytes": size, "payload_digest": want[5:].lower() or None}, end + 4
 
 
-def _member_at(data: bytes, at: int) -> tuple[bytes, int]:
-    """The decompressed gzip member that begins there, and where it ends."""
-    d = zlib.decompressobj(31)
-    try:
-        head = d.decompress(data[at : at + 4096], 16)
-        if not b"WARC/1.".startswith(head[:7]) and not head.startswith(b"WARC/1."):
-            raise _Damage("member holds no record")
-        d = zlib.decompressobj(31)
-        view, out, step = memoryview(data), [], 1 << 16
-        pos = at
-        while not d.eof and pos < len(data):
+def _member_at(data: bytes, at: int) -> tuple[bytes, int | None, str]:
+    """What inflates of the gzip member that begins there, where it ends, and, where it is broken or cut off (end None), why."""
+    view, out, step, pos = memoryview(data), [], 1 << 16, at
+    d, reason = zlib.decompressobj(31), ""
+    while not d.eof and pos < len(data) and not reason:
+        try:
             out.append(d.decompress(view[pos : pos + step]))
             pos += step
-    except zlib.error as e:
-        raise _Damage(f"gzip: {e}") from None
-    if not d.eof:
-        raise _Damage("gzip: member is cut off")
-    return b"".join(out), min(pos, len(data)) - len(d.unused_data)
+        except zlib.error as e:
+            reason, d = f"gzip: {e}", zlib.decompressobj(31)
+            d.decompress(view[at:pos])
+            try:  # byte by byte up to the error
+                for i in range(pos, min(pos + step, len(data))):
+                    out.append(d.decompress(view[i : i + 1]))
+            except zlib.error:
+                pass
+    if not d.eof and not reason:
+        reason = _CUT
+    plain = b"".join(out)
+    if not _VERSION.search(plain):
+        raise _Damage(reason or "member holds no record")
+    return plain, None if reason else min(pos, len(data)) - len(d.unused_data), reason
+
+
+def _inner(plain: bytes, digest: bool):
+    """Yields (begin, end, record or reason) over inflated bytes: what fails its checks goes up to the next version line."""
+    at, gap, reason = 0, None, ""
+    while at < len(plain):
+        try:
+            r, end = _record_at(plain, at, digest)
+        except _Damage as e:
+            if gap is None:
+                gap, reason = at, str(e)
+            m = _VERSION.search(plain, at + 1)
+            at = m.start() if m else len(plain)
+            continue
+        if gap is not None:
+            yield gap, at, reason
+            gap = None
+        yield at, end, r
+        at = end
+    if gap is not None:
+        yield gap, len(plain), reason
 
 
 def salvage(data: bytes):
-    """Yields ("record", offset, length, record) and ("gap", offset, length, reason), in order, over all bytes."""
+    """Yields ("record", offset, length, record) and ("gap", offset, length, reason), in order, over all bytes.
+
+    A gap inside an inflated member has the member's offset and length, and its own place in the reason. Of a broken member
+    the records with a good block digest count, without the one that ends where a cut-off member does; its bytes are a gap besides."""
     at, gap, reason = 0, None, ""
     start = re.compile(rb"\x1f\x8b\x08|WARC/1\.\d\r\n")
     while at < len(data):
+        found, end = [], None
         try:
             if data.startswith(b"\x1f\x8b", at):
-                plain, end = _member_at(data, at)
-                inner, found = 0, []
-                while inner < len(plain):
-                    r, inner = _record_at(plain, inner)
-                    found.append(r)
+                plain, end, why = _member_at(data, at)
+                found = list(_inner(plain, end is None))
+                if end is None or not any(isinstance(r, dict) for _, _, r in found):
+                    raise _Damage(why or found[0][2])
             else:
                 r, end = _record_at(data, at)
-                found = [r]
+                found = [(0, 0, r)]
         except _Damage as e:
+            m = start.search(data, at + 1)
+            after = m.start() if m else len(data)
+            good = [r for _, b, r in found if isinstance(r, dict) and not (why == _CUT and b == len(plain))]
+            if good and gap is not None:
+                yield "gap", gap, at - gap, reason
+                gap = None
+            for r in good:
+                yield "record", at, after - at, r
             if gap is None:
                 gap, reason = at, str(e)
-            m = start.search(data, at + 1)
-            at = m.start() if m else len(data)
+            at = after
             continue
         if gap is not None:
             yield "gap", gap, at - gap, reason
             gap = None
-        for r in found:
-            yield "record", at, end - at, r
+        for a, b, r in found:
+            if isinstance(r, dict):
+                yield "record", at, end - at, r
+            else:
+                yield "gap", at, end - at, f"{r} (bytes {a} to {b} of the inflated member)"
         at = end
     if gap is not None:
         yield "gap", gap, len(data) - gap, reason

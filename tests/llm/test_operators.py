@@ -307,6 +307,23 @@ def test_warc_salvage(shape):
     assert list(warc.salvage(b"")) == [] and [k for k, *_ in warc.salvage(b"junk")] == ["gap"]
 
 
+def test_warc_salvage_inside_a_member():
+    parts = [warc.record(i, "u", b"payload %d " % i * 50, hashlib.sha1(b"payload %d " % i * 50).hexdigest(), "response", None) for i in range(8)]
+    spoiled = bytearray(b"".join(parts))
+    at = sum(map(len, parts[:3])) + len(parts[3]) * 2 // 3
+    spoiled[at : at + 4] = b"\0\0\0\0"
+    ids = lambda data: [x["id"] for k, _, _, x in warc.salvage(data) if k == "record"]
+    member = warc._member(bytes(spoiled))
+    assert ids(b"junk" + member + warc._member(parts[0])) == [f"<urn:page:{i}>" for i in (0, 1, 2, 4, 5, 6, 7, 0)]
+    gap = next(x for x in warc.salvage(b"junk" + member) if x[0] == "gap" and x[1] == 4)
+    assert gap[2] == len(member) and f"bytes {sum(map(len, parts[:3]))} to {sum(map(len, parts[:4]))}" in gap[3]
+    whole = warc._member(b"".join(parts))
+    crc = whole[:-8] + b"\0\0\0\0" + whole[-4:]
+    assert ids(crc + warc._member(parts[0])) == [f"<urn:page:{i}>" for i in (*range(8), 0)]
+    assert len(ids(whole[: len(whole) * 9 // 10])) >= 4
+    assert [k for k, *_ in warc.salvage(crc)][-1] == "gap"
+
+
 # ---- 5 licences
 
 
