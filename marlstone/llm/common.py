@@ -20,9 +20,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors share; where none is named (a local session), a temporary one is set."""
+    """The folder that all executors share; where none is named, a local session gets a temporary one and any other an error."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir names no folder: executors and driver need a shared one for written tables")
         named = tempfile.mkdtemp(prefix="marlstone-")
         spark.sparkContext.setCheckpointDir(named)
     return named.rstrip("/")

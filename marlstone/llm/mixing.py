@@ -10,25 +10,30 @@ Only (source, hash bucket) sums and the one bucket of each source in which its d
 hot source are spread over all tasks.
 
 Rows: null texts and texts without words have size 0 and are taken 0 times; a null source is a source of its own, last
-in order; a null id counts as empty text in the hash; equal rows stand next to one another in the draw; an empty table gives no rows.
+in order; a null id counts as empty text in the hash, which takes the text in; equal rows stand next to one another in the draw; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, written
+from .common import WORD, discard, written
 
 WEIGHTS = (5, 2, 1)  #: of sources in order of code points, null last, repeating
 EPOCHS = 3
 SEED = "mix-1"
-DIGITS = 3  #: hexadecimal digits of the hash that name a bucket
+ROWS = 1 << 16  #: documents that a bucket of the draw holds, about: how many buckets there are grows with the rows
 
 
 def _sizes(docs: DataFrame, text_col: str, source_col: str, id_col: str, seed: str) -> DataFrame:
     size = F.coalesce(F.regexp_count(F.col(text_col).cast("string"), F.lit(WORD)), F.lit(0)).cast("long")
-    draw = F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col(id_col).cast("string"), F.lit(""))).cast("binary"))
+    # by id and text, so that neither a null id nor an id of many rows is one place in the draw
+    none = lambda c: F.coalesce(c, F.lit(""))
+    drawn = F.concat(F.lit(seed + ":"), none(F.col(id_col).cast("string")), F.lit(":"), none(F.md5(F.col(text_col).cast("string").cast("binary"))))
+    draw = F.md5(drawn.cast("binary"))
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"), size.alias("size"), draw.alias("draw"))
 
 
@@ -53,7 +58,8 @@ def targets(sources: DataFrame, epochs: int = EPOCHS) -> DataFrame:
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", epochs: int = EPOCHS, seed: str = SEED) -> DataFrame:
     """(doc_id, size, source_size, target, taken) for every document."""
     sized = written(_sizes(docs, text_col, source_col, id_col, seed), "sizes")
-    bucket: Column = F.substring("draw", 1, DIGITS)
+    digits = max(1, math.ceil(math.log(max(sized.count() / ROWS, 1), 16)))  # how the draw is cut; no result depends on it
+    bucket: Column = F.substring("draw", 1, digits)
     cells = sized.groupBy("source", bucket.alias("bucket")).agg(F.sum("size").alias("size"))
     plan = targets(cells.groupBy("source").agg(F.sum("size").alias("source_size")), epochs)
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
@@ -64,6 +70,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     edges = written(edges.select("source", "bucket", "before", F.when(F.col("before") >= F.col("rest"), F.lit("none")).when(F.col("before") + F.col("size") <= F.col("rest"), F.lit("all")).otherwise(F.lit("part")).alias("draws"), "whole", "rest", "source_size", "target"), "edges")
     joined = sized.withColumn("bucket", bucket).alias("d").join(edges.alias("e"), (F.col("d.bucket") == F.col("e.bucket")) & F.col("d.source").eqNullSafe(F.col("e.source"))).select("d.doc_id", "d.source", "d.size", "d.draw", "d.bucket", "before", "draws", "whole", "rest", "source_size", "target")
     out = lambda df, extra: df.select(F.col("doc_id").alias(id_col), "size", "source_size", "target", (F.col("whole") * F.col("size") + extra).cast("long").alias("taken"))
+    discard(plan)
     sure = out(joined.where("draws <> 'part'"), F.when(F.col("draws") == "all", F.col("size")).otherwise(F.lit(0)))
     line = Window.partitionBy("source", "bucket").orderBy("draw", "doc_id", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     part = joined.where("draws = 'part'").withColumn("ahead", F.col("before") + F.sum("size").over(line) - F.col("size"))
@@ -78,7 +85,7 @@ def op9_waterfill(spark, sf_dir: str) -> DataFrame:
 
 OP9_SQL = f"""
 WITH sized AS (
-  SELECT doc_id, source, CAST(COALESCE(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS BIGINT) AS size, md5(concat('{SEED}:', CAST(doc_id AS VARCHAR))) AS draw FROM documents),
+  SELECT doc_id, source, CAST(COALESCE(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS BIGINT) AS size, md5(concat('{SEED}:', doc_id, ':', md5(text))) AS draw FROM documents),
 sources AS (SELECT source, SUM(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS k FROM sized GROUP BY source),
 weighted AS (SELECT source, source_size, CASE k % 3 WHEN 1 THEN 5.0::DOUBLE WHEN 2 THEN 2.0::DOUBLE ELSE 1.0::DOUBLE END AS weight, source_size * 3.0::DOUBLE AS cap FROM sources),
 summed AS (

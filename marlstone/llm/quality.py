@@ -2,9 +2,10 @@
 
 Every line gets features of its bytes and words, and those of its neighbours; a two-state chain (bad, good) with
 learned transitions labels all lines at once. Training maximises the conditional likelihood of the lines' labels, by
-full-batch gradient steps with forward-backward in numpy, on all lines of a bounded sample of labelled documents; a
-line's label is its document's. A document's score is the length-weighted mean of its lines' forward-backward marginals,
-calibrated by a logistic on the training documents.
+full-batch gradient steps with forward-backward in numpy, on all lines of a bounded sample of labelled documents. Only
+documents are labelled: a first chain takes their label for every line, a second one is trained on what the first finds
+in each line. A document's score is the length-weighted mean of its lines' forward-backward marginals, calibrated by a
+logistic on documents of the sample that the chain behind their means was not trained on.
 
 Rows: null and empty texts are one empty line; a null id counts as empty text in the remainder; repeated rows get equal
 scores; without labelled training rows every score is 0.5; an empty table gives no rows; other columns are ignored.
@@ -122,31 +123,68 @@ def forward_backward(scores: np.ndarray, moves: np.ndarray, counts: np.ndarray)
     return p, pair.sum(0), float(z.sum())
 
 
-def fit(x: np.ndarray, size: np.ndarray, counts: np.ndarray, labels: np.ndarray, steps: int = STEPS) -> dict:
-    """Weights of state 1 against state 0, moves, and scaling; size: bytes per line, labels per document."""
+def chain(x: np.ndarray, counts: np.ndarray, lines: np.ndarray, line_weight: np.ndarray, steps: int) -> dict:
+    """Weights of state 1 against state 0, moves, and scaling, that make the lines' labels likeliest."""
     mean, sd = x.mean(0), x.std(0)
     mean[2 * OWN], sd[sd < 1e-9] = 0, 1
     z = (x - mean) / sd
-    y = np.repeat(labels, counts).astype(np.float64)
-    inside = np.ones(len(y), bool)
+    inside = np.ones(len(lines), bool)
     inside[np.cumsum(counts) - counts] = False
-    seen = np.array([[0.0, 0.0], [0.0, 0.0]])
-    for s in (0, 1):  # a document's lines share its label
-        seen[s, s] = (inside & (y == s)).sum()
-    # rare labels count as much as frequent ones, documents as much as one another
-    doc_weight = np.where(labels == 1, 0.5 / max(labels.sum(), 1), 0.5 / max((1 - labels).sum(), 1))
-    line_weight = np.repeat(doc_weight / counts, counts)
-    w, moves, m, v = np.zeros(x.shape[1]), np.zeros((2, 2)), 0.0, 0.0
-    params = np.concatenate((w, moves.ravel()))
+    at = np.flatnonzero(inside)
+    seen = np.zeros((2, 2))
+    np.add.at(seen, (lines[at - 1].astype(int), lines[at].astype(int)), 1.0)
+    params, m, v = np.zeros(x.shape[1] + 4), 0.0, 0.0
     for t in range(1, steps + 1):
         w, moves = params[:-4], params[-4:].reshape(2, 2)
-        scores = np.stack((np.zeros(len(z)), z @ w), 1)
-        p, pairs, _ = forward_backward(scores, moves, counts)
-        grad = np.concatenate((z.T @ ((y - p) * line_weight) - 1e-3 * w, ((seen - pairs) / max(len(y), 1) - 1e-1 * moves).ravel()))
+        p, pairs, _ = forward_backward(np.stack((np.zeros(len(z)), z @ w), 1), moves, counts)
+        grad = np.concatenate((z.T @ ((lines - p) * line_weight) - 1e-3 * w, ((seen - pairs) / max(len(lines), 1) - 1e-1 * moves).ravel()))
         m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad * grad
         params = params + 0.08 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-8)
-    model = {"mean": mean, "sd": sd, "w": params[:-4], "moves": params[-4:].reshape(2, 2), "a": 1.0, "b": 0.0}
-    raw = _raw(model, x, size, counts)
+    return {"mean": mean, "sd": sd, "w": params[:-4], "moves": params[-4:].reshape(2, 2)}
+
+
+def line_labels(p: np.ndarray, size: np.ndarray, counts: np.ndarray, labels: np.ndarray) -> np.ndarray:
+    """Labels of lines from marginals of a first model: all lines of good documents are good; of bad ones, the lines that look
+    good (0.5 or more) are good too, but those that look worst, up to half of the bytes, stay bad."""
+    first = np.cumsum(counts) - counts
+    doc = np.repeat(np.arange(len(counts)), counts)
+    order = np.lexsort((p, doc))
+    total = np.cumsum(size[order])
+    before = total - size[order] - np.repeat((total - size[order])[first], counts)
+    worst = np.zeros(len(p), bool)
+    worst[order] = before < np.repeat(np.add.reduceat(size, first), counts) / 2
+    return np.where(labels[doc] == 1, 1.0, ((p >= 0.5) & ~worst).astype(np.float64))
+
+
+def fit_chain(x: np.ndarray, size: np.ndarray, counts: np.ndarray, labels: np.ndarray, steps: int = STEPS) -> dict:
+    """A first model takes a document's label for all its lines; the second one takes what the first says of each line, and so learns how good and bad lines follow one another."""
+    # rare labels count as much as frequent ones, documents as much as one another
+    doc_weight = np.where(labels == 1, 0.5 / max(labels.sum(), 1), 0.5 / max((1 - labels).sum(), 1))
+    weight = np.repeat(doc_weight / counts, counts)
+    model = chain(x, counts, np.repeat(labels, counts).astype(np.float64), weight, steps // 2)
+    return chain(x, counts, line_labels(_marginals(model, x, counts), size, counts, labels), weight, steps)
+
+
+def fit(x: np.ndarray, size: np.ndarray, counts: np.ndarray, labels: np.ndarray, steps: int = STEPS) -> dict:
+    """The chain, and a logistic on the documents' means; size: bytes per line, labels per document.
+
+    The logistic is fitted on means that come from a chain which has not seen the document: documents are cut in two
+    halves in turn, each judged by the chain of the other."""
+    model = fit_chain(x, size, counts, labels, steps)
+    half = np.zeros(len(labels), np.int64)
+    for y in (0, 1):
+        own = np.flatnonzero(labels == y)
+        half[own] = np.arange(len(own)) % 2
+    raw = np.zeros(len(labels))
+    for h in (0, 1):
+        mine = half == h
+        if len(set(labels[~mine].tolist())) == 2 and mine.any():
+            lines = np.repeat(mine, counts)
+            other = fit_chain(x[~lines], size[~lines], counts[~mine], labels[~mine], steps)
+            raw[mine] = _raw(other, x[lines], size[lines], counts[mine])
+        else:  # too few documents to keep some apart
+            raw = _raw(model, x, size, counts)
+            break
     # logistic calibration of the documents' means, by Newton steps
     a, b = 1.0, 0.0
     share = labels.mean()
@@ -159,10 +197,14 @@ def fit(x: np.ndarray, size: np.ndarray, counts: np.ndarray, labels: np.ndarray,
     return model | ({"a": float(a), "b": float(b)} if 0 < share < 1 else {"a": 0.0, "b": 9.0 if share else -9.0})
 
 
+def _marginals(model: dict, x: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    scores = np.stack((np.zeros(len(x)), (x - model["mean"]) / model["sd"] @ model["w"]), 1)
+    return forward_backward(scores, model["moves"], counts)[0]
+
+
 def _raw(model: dict, x: np.ndarray, size: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """Per document: the logit of the length-weighted mean of marginals."""
-    scores = np.stack((np.zeros(len(x)), (x - model["mean"]) / model["sd"] @ model["w"]), 1)
-    p, _, _ = forward_backward(scores, model["moves"], counts)
+    p = _marginals(model, x, counts)
     first = np.cumsum(counts) - counts
     mean = np.add.reduceat(p * size, first) / np.add.reduceat(size, first)
     mean = np.clip(mean, 1e-4, 1 - 1e-4)
@@ -182,10 +224,12 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             both = [(x[a : a + c].astype(np.float32).tobytes(), size[a : a + c].astype(np.int64).tobytes()) for a, c in zip(first.tolist(), counts.tolist())]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("label"), pa.array([b[0] for b in both], pa.binary()), pa.array([b[1] for b in both], pa.binary())], names=["doc_id", "label", "x", "size"])
 
-    got = sample.select("doc_id", "label", "text").mapInArrow(run, "doc_id long, label int, x binary, size binary").toArrow().sort_by("doc_id")
+    found = sample.select("doc_id", "label", "text").mapInArrow(run, "doc_id long, label int, x binary, size binary").distinct()
+    # and at most `rows` rows, however many rows share an id
+    got = found.orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("x", "size"), "x", "size").limit(rows).toArrow()
     if not got.num_rows:
         return None
-    each = sorted(set(zip(*(got.column(c).to_pylist() for c in ("doc_id", "label", "x", "size")))))
+    each = sorted(zip(*(got.column(c).to_pylist() for c in ("doc_id", "label", "x", "size"))))
     x = [np.frombuffer(e[2], np.float32).reshape(-1, 2 * OWN + 3) for e in each]
     size = np.concatenate([np.frombuffer(e[3], np.int64) for e in each])
     return fit(np.concatenate(x).astype(np.float64), size, np.array([len(v) for v in x]), np.array([e[1] for e in each]))

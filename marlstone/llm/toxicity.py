@@ -45,25 +45,32 @@ def _features(w: Words, at: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
     return out
 
 
-def maximal_segments(x: list[float]) -> list[tuple[int, int, float]]:
-    """All maximal scoring segments (first, last, score) of the scores, in one pass."""
-    stack: list[tuple[int, int, float, float]] = []  # first, last, total before, total at its end
-    total = 0.0
+def maximal_segments(x: list[float], steps: list[int] | None = None) -> list[tuple[int, int, float]]:
+    """All maximal scoring segments (first, last, score) of the scores, in linear time; steps: gets the number of entries looked at.
+
+    An entry of the stack keeps the place of the nearest entry below it whose total before is lower. A new segment follows
+    these links only, and what it has passed over is never on the links of a later one."""
+    stack: list[tuple[int, int, float, float, int]] = []  # first, last, total before, total at its end, link
+    total, looked = 0.0, 0
     for i, v in enumerate(x):
         before, total = total, total + v
         if v <= 0:
             continue
-        first, low = i, before
+        first, low, j = i, before, len(stack) - 1
         while True:
-            j = len(stack) - 1
             while j >= 0 and stack[j][2] >= low:
-                j -= 1
+                j = stack[j][4]
+                looked += 1
             if j < 0 or stack[j][3] >= total:
                 break
-            first, low = stack[j][0], stack[j][2]
+            first, low, link = stack[j][0], stack[j][2], stack[j][4]
+            looked += len(stack) - j
             del stack[j:]
-        stack.append((first, i, low, total))
-    return [(a, b, high - low) for a, b, low, high in stack]
+            j = link
+        stack.append((first, i, low, total, j))
+    if steps is not None:
+        steps.append(looked)
+    return [(a, b, high - low) for a, b, low, high, _ in stack]
 
 
 class Model:
@@ -160,7 +167,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """The model, from labelled documents whose remainder is not the held-out one; None without any of one kind."""
     chosen = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & (remainder(F.col("doc_id"), k) != held)).groupBy("doc_id").agg(F.max(label).cast("int").alias("label"))
     chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
-    # at most `rows` ids
+    # at most `rows` ids; rows that share one are all counted, where they are
     sample = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(chosen), "doc_id").select("doc_id", "label", "text", F.pmod(F.xxhash64("doc_id"), F.lit(2)).cast("int").alias("fold"))
 
     def count(batches):

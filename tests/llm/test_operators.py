@@ -193,6 +193,16 @@ def test_segments_are_the_maximal_ones():
         assert [(a, b) for a, b, _ in got] == [(a, b) for a, b, _ in want]
 
 
+def test_segments_take_linear_time():
+    """A million tokens that go up and down, up and up, and at random: entries looked at stay below the tokens."""
+    r = np.random.default_rng(9)
+    n = 500_000
+    for x in ([1.0, -2.0] * n, [2.0, -1.0] * n, r.uniform(-1, 1, 2 * n).tolist(), r.uniform(-1, 0.9, 2 * n).tolist()):
+        steps: list[int] = []
+        toxicity.maximal_segments(x, steps)
+        assert steps[0] <= 2 * n
+
+
 @pytest.fixture(scope="module")
 def labelled(spark):
     import random
@@ -270,6 +280,21 @@ def test_quality_learns_from_all_lines(spark):
     assert all(r.predicted == r.doc_id % 2 for r in quality.score(d, model).collect())
 
 
+def test_quality_relabels_lines_of_bad_documents():
+    """Lines that look good are good also in bad documents; the worst half of the bytes stays bad."""
+    p = np.array([0.9, 0.1, 0.9, 0.2, 0.9, 0.8])
+    size = np.array([10, 10, 10, 10, 10, 90])
+    got = quality.line_labels(p, size, np.array([2, 2, 2]), np.array([1, 0, 0]))
+    assert got.tolist() == [1, 1, 1, 0, 1, 0]
+
+
+def test_quality_fit_is_bounded_in_rows(spark):
+    """An id with many texts, and with many equal rows, brings at most `rows` of them."""
+    d = spark.createDataFrame([(1, f"good words {i % 40}") for i in range(400)] + [(3, "$$$ ### %%%")] * 300, "doc_id long, text string")
+    model = quality.learn(d, spark.createDataFrame([(1, 1), (3, 0)], "doc_id long, quality int"), rows=30)
+    assert model is not None and quality.score(d, model).where("doc_id = 3").count() == 300
+
+
 # ---- 4 WARC
 
 
