@@ -1,14 +1,18 @@
 """Hashed maximum-entropy language model with a class-factored softmax.
 
-P(word | history) = P(class | history) * P(word | class). A word's class is a hash of its last two bytes; the end
-token has a class of its own. P(class | history) is a maximum-entropy model over hashed features: a bias, the
-previous word's class (n-gram), the class before it (skip) and both together, trained by gradient updates whose
-expectations are computed by distributed tasks over the counts of all training contexts (a sufficient statistic, so
-every update uses the whole training corpus). P(word | class) is closed form: relative frequency with a
-Good-Turing share for one unseen word per class.
-
-Words are met as 64-bit hashes. Per piece of documents only its distinct words travel, in buckets of the hash range;
-each bucket sums the counts and answers every piece, so no vocabulary is ever held in one place.
+P(word | history) = P(class | history) * P(group | class, history) * P(word | class, group). A word's class and its group
+within the class are digits of its 64-bit hash; the end of a text is a word of its own. The first two factors are
+maximum-entropy models over hashed features: a bias, the previous word (n-gram), the word before it (skip) and both
+together for the class; the class itself, and the class with either of the two words, for the group. Both are trained by
+gradient updates: in every round, tasks send the gradients of the rows of weights that their share of the training texts
+touches, summed by blocks of rows, and every training text is used in one round. The rows of the hashed tables double
+with the training tokens, from 2 ** LEAST_BITS to 2 ** MOST_BITS; that bound is what a task holds (2 tables of 2 ** MOST_BITS
+rows of 64 floats: 64 MB). The last factor tells apart the words that share a class and group, by their relative
+frequency in all training texts, with a Good-Turing share for an unseen word, which is one outcome of its cell.
+
+Words are met as 64-bit hashes. Their counts are summed by a distributed aggregate and joined back to the pieces of
+documents that hold them: no vocabulary is ever held in one place. Texts are scored in numpy batches, of which each looks
+up only the weight rows of its own features.
 
 Rows: null or empty texts have the end token alone; a null id counts as empty text in the remainder; repeated rows are
 scored and counted as often as they occur; an empty table gives no rows; other columns are ignored.
@@ -22,29 +26,24 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, discard, pieces, remainder, written
-
-CLASSES = 64
-END = CLASSES - 1
-START = END  #: what stands before the first word
-ROWS = 1 << 13  #: hashed feature rows
-ROUNDS = 12  #: gradient updates
+from .common import Words, mix64, pieces, remainder, written
+
+CLASSES = 64  #: and as many groups in a class; by the 6 + 6 first bits of the hash
+END = np.uint64(0x51A3C96D0E47B82F)  #: the hash of the end token
+START = np.uint64(0x0D6B3F8E2C914A75)  #: what stands before the first word
+LEAST_BITS, MOST_BITS = 11, 17
+TOKENS_PER_ROW = 1 << 13
+ROUNDS = 8  #: gradient updates; every training text takes part in one
+RATE = 0.3  #: of a step
+BLOCK = 256  #: weight rows whose gradients travel together
+BATCH = 1 << 14  #: tokens scored at a time
 PIECE = 4 << 20  #: bytes of text that share a local vocabulary
 HASHED = 1 << 20  #: bytes of text that are hashed at a time
 
 
-def _classes(w: Words) -> np.ndarray:
-    """Class of every word: by its last two bytes, A-Z lower-cased."""
-    length = w.lengths()
-    end = w.starts + length - 1
-    last, before = w.data[end].astype(np.uint32), np.where(length > 1, w.data[np.maximum(end - 1, 0)], 0).astype(np.uint32)
-    for x in (last, before):
-        x[(x >= 65) & (x <= 90)] += 32
-    return (((last * np.uint32(257) + before + np.uint32(1)) * np.uint32(2654435769) >> np.uint32(16)) % np.uint32(CLASSES - 1)).astype(np.uint8)
-
-
 def _pack(x: np.ndarray) -> bytes:
-    return pa.compress(np.ascontiguousarray(x).tobytes(), codec="zstd", asbytes=True) + len(x.tobytes()).to_bytes(8, "little")
+    raw = np.ascontiguousarray(x).tobytes()
+    return pa.compress(raw, codec="zstd", asbytes=True) + len(raw).to_bytes(8, "little")
 
 
 def _unpack(b: bytes, kind) -> np.ndarray:
@@ -52,205 +51,230 @@ def _unpack(b: bytes, kind) -> np.ndarray:
     return np.frombuffer(pa.decompress(b[:-8], decompressed_size=n, codec="zstd", asbytes=True) if n else b"", kind)
 
 
-TOKENS = "piece long, ids binary, missing binary, train binary, counts binary, tokens binary, hashes binary, classes binary"
+TOKENS = "piece long, ids binary, missing binary, train binary, counts binary, tokens binary, hashes binary"
 
 
 def _tokenised(docs: DataFrame, id_col: str, text_col: str, held: int, k: int) -> DataFrame:
+    """One row per piece of documents: their ids, words per document, the words as numbers in the piece's own list of hashes."""
+
     def run(batches):
         base, n = (TaskContext.get().partitionId() + 1) << 32, 0
         for batch in pieces(batches, PIECE):
-            hashed, kinds, counts = [], [], []
+            hashed, counts = [], []
             for part in pieces([batch], HASHED):
                 w = Words(part.column("text"))
                 hashed.append(w.hashes)
-                kinds.append(_classes(w))
                 counts.append(w.counts.astype(np.int32))
-            hashes, first, local = np.unique(np.concatenate(hashed), return_index=True, return_inverse=True)
+            hashes, local = np.unique(np.concatenate(hashed), return_inverse=True)
             ids = batch.column("id")
             row = {
                 "piece": base + n, "ids": _pack(ids.fill_null(0).to_numpy()), "missing": _pack(ids.is_null().to_numpy(zero_copy_only=False)), "train": _pack(batch.column("train").to_numpy(zero_copy_only=False)),
-                "counts": _pack(np.concatenate(counts)), "tokens": _pack(local.astype(np.int32)), "hashes": hashes.tobytes(), "classes": np.concatenate(kinds)[first].tobytes(),
+                "counts": _pack(np.concatenate(counts)), "tokens": _pack(local.astype(np.int32)), "hashes": hashes.tobytes(),
             }
             n += 1
             yield pa.RecordBatch.from_pylist([row], schema=schema)
 
-    schema = pa.schema([("piece", pa.int64()), *((c, pa.binary()) for c in ("ids", "missing", "train", "counts", "tokens", "hashes", "classes"))])
+    schema = pa.schema([("piece", pa.int64()), *((c, pa.binary()) for c in ("ids", "missing", "train", "counts", "tokens", "hashes"))])
     held_out = remainder(F.col(id_col), k) == held
     return written(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"), (~held_out).alias("train")).mapInArrow(run, TOKENS), "tokens")
 
 
 def _rows_of(batches):
     for batch in batches:
-        yield from batch.to_pylist()
+        for i in range(batch.num_rows):
+            yield batch.slice(i, 1).to_pylist()[0]
 
 
-def _word_counts(tokens: DataFrame, buckets: int) -> DataFrame:
-    """For each bucket of hashes and each piece: the words' counts in all training texts; with piece -1: what each class has."""
-    bits = buckets.bit_length() - 1
+def _words(tokens: DataFrame) -> DataFrame:
+    """(hash, piece, at, n): every distinct word of every piece, its number there and its count in the piece's training texts."""
 
-    def asked(batches):
+    def run(batches):
         for r in _rows_of(batches):
-            hashes = np.frombuffer(r["hashes"], np.uint64)
+            hashes = np.frombuffer(r["hashes"], np.int64)
             train = np.repeat(_unpack(r["train"], bool), _unpack(r["counts"], np.int32))
-            own = np.bincount(_unpack(r["tokens"], np.int32)[train], minlength=len(hashes)).astype(np.int64)
-            classes = np.frombuffer(r["classes"], np.uint8)
-            edges = np.searchsorted(hashes >> np.uint64(64 - bits), np.arange(buckets + 1, dtype=np.uint64))
-            parts = [(i, a, b) for i, (a, b) in enumerate(zip(edges.tolist(), edges[1:].tolist())) if b > a]
-            yield pa.RecordBatch.from_pydict({
-                "bucket": pa.array([i for i, _, _ in parts], pa.int32()), "piece": pa.array([r["piece"]] * len(parts), pa.int64()), "hashes": pa.array([hashes[a:b].tobytes() for _, a, b in parts], pa.binary()),
-                "counts": pa.array([_pack(own[a:b].astype(np.int32)) for _, a, b in parts], pa.binary()), "classes": pa.array([classes[a:b].tobytes() for _, a, b in parts], pa.binary()),
-            })
-
-    def answered(t: pa.Table) -> pa.Table:
-        bucket, pieces_, hashes = t.column("bucket")[0].as_py(), t.column("piece").to_pylist(), [np.frombuffer(x, np.uint64) for x in t.column("hashes").to_pylist()]
-        every, first, local = np.unique(np.concatenate(hashes), return_index=True, return_inverse=True)
-        own = np.concatenate([_unpack(x, np.int32) for x in t.column("counts").to_pylist()])
-        total = np.bincount(local, weights=own, minlength=len(every)).astype(np.int64)
-        classes = np.frombuffer(b"".join(t.column("classes").to_pylist()), np.uint8)[first]
-        cut = np.cumsum([len(h) for h in hashes])[:-1]
-        answers = [_pack(x) for x in np.split(total[local], cut)]
-        known = total > 0
-        each = np.stack([np.bincount(classes, weights=x, minlength=CLASSES) for x in (total, known, total == 1)])
-        return pa.table({"piece": pa.array([*pieces_, -1], pa.int64()), "bucket": pa.array([bucket] * (len(pieces_) + 1), pa.int32()), "counts": pa.array([*answers, None], pa.binary()), "each": pa.array([*[None] * len(pieces_), each.ravel().tolist()], pa.list_(pa.float64()))})
-
-    packed = tokens.mapInArrow(asked, "bucket int, piece long, hashes binary, counts binary, classes binary")
-    return written(packed.groupBy("bucket").applyInArrow(answered, "piece long, bucket int, counts binary, each array<double>"), "counts")
-
-
-def _histories(classes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Class sequence of all texts, each closed by END; per token its context (one before * CLASSES + two before), and where texts end."""
-    ends = np.cumsum(counts + 1) - 1
-    seq = np.full(int(ends[-1]) + 1 if len(ends) else 0, END, np.int64)
+            n = np.bincount(_unpack(r["tokens"], np.int32)[train], minlength=len(hashes)).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(hashes), pa.array(np.full(len(hashes), r["piece"])), pa.array(np.arange(len(hashes), dtype=np.int32)), pa.array(n)], names=["hash", "piece", "at", "n"])
+
+    return tokens.select("piece", "train", "counts", "tokens", "hashes").mapInArrow(run, "hash long, piece long, at int, n int")
+
+
+def cells(hashes: np.ndarray) -> np.ndarray:
+    """Class * CLASSES + group."""
+    return (hashes >> np.uint64(52)).astype(np.int64)
+
+
+def sequence(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of all texts' tokens, each text closed by END; the token before each, the one before that, and where texts end."""
+    ends = np.cumsum(counts.astype(np.int64) + 1) - 1
+    seq = np.full(int(ends[-1]) + 1 if len(ends) else 0, END)
     inner = np.ones(len(seq), bool)
     inner[ends] = False
-    seq[inner] = classes
-    one, two = np.concatenate(([START], seq[:-1])), np.concatenate(([START, START], seq[:-2]))[: len(seq)]
+    seq[inner] = hashes
+    one, two = np.full(len(seq), START), np.full(len(seq), START)
+    one[1:], two[2:] = seq[:-1], seq[:-2]
     begin = np.concatenate(([0], ends[:-1] + 1)) if len(ends) else ends
-    one[begin] = START
-    two[begin] = START
-    second = begin[counts > 0] + 1
-    two[second] = START
-    return seq, one * CLASSES + two, ends
+    one[begin] = two[begin] = START
+    two[begin[counts > 0] + 1] = START
+    return seq, one, two, ends
 
 
-def _contexts(tokens: DataFrame) -> DataFrame:
-    """(context, class, n) over all training texts."""
+def _row(kind: int, x: np.ndarray, least: int, rows: int) -> np.ndarray:
+    return (least + mix64(x + np.uint64(kind * 0x9E3779B97F4A7C15 & (1 << 64) - 1)) % np.uint64(rows - least)).astype(np.int64)
 
-    def run(batches):
-        total = np.zeros(CLASSES**3, np.int64)
-        for r in _rows_of(batches):
-            train, counts = _unpack(r["train"], bool), _unpack(r["counts"], np.int32).astype(np.int64)
-            if train.any():
-                classes = np.frombuffer(r["classes"], np.uint8)[_unpack(r["tokens"], np.int32)][np.repeat(train, counts)]
-                seq, context, _ = _histories(classes, counts[train])
-                total += np.bincount(context * CLASSES + seq, minlength=len(total))
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_pydict({"context": pa.array((at // CLASSES).astype(np.int32)), "class": pa.array((at % CLASSES).astype(np.int32)), "n": pa.array(total[at])})
 
-    return written(tokens.mapInArrow(run, "context int, class int, n long").groupBy("context", "class").agg(F.sum("n").alias("n")).repartition(4, "context"), "contexts")
+def class_rows(one: np.ndarray, two: np.ndarray, rows: int) -> list[np.ndarray]:
+    """Weight rows of the class features: bias, n-gram, skip, both."""
+    with np.errstate(over="ignore"):
+        return [np.zeros(len(one), np.int64), _row(1, one, 1, rows), _row(2, two, 1, rows), _row(3, one * np.uint64(3) + two, 1, rows)]
 
 
-def features(context: np.ndarray) -> np.ndarray:
-    """Hashed feature rows (n x 4) of contexts: bias, n-gram, skip, both."""
-    one, two = context // CLASSES, context % CLASSES
-    h = lambda kind, x: ((x + 1) * 2654435761 + kind * 40503 >> 7) % (ROWS - 1) + 1
-    return np.stack([np.zeros_like(context), h(1, one), h(2, two + 977), h(3, context + 100_003)], 1)
+def group_rows(kinds: np.ndarray, one: np.ndarray, two: np.ndarray, rows: int) -> list[np.ndarray]:
+    """Weight rows of the group features: class, class and n-gram, class and skip."""
+    with np.errstate(over="ignore"):
+        own = kinds.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+        return [kinds, _row(4, one + own, CLASSES, rows), _row(5, two + own, CLASSES, rows)]
 
 
-def log_softmax(weights: np.ndarray, context: np.ndarray) -> np.ndarray:
-    z = weights[features(context)].sum(1)
+def softmax(weights: np.ndarray, features: list[np.ndarray], target: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(log probability of each target, probabilities of all outcomes)."""
+    z = weights[features[0]]
+    for f in features[1:]:
+        z += weights[f]
     z -= z.max(1, keepdims=True)
-    return z - np.log(np.exp(z).sum(1, keepdims=True))
-
-
-def train(contexts: DataFrame, unigram: np.ndarray, rounds: int = ROUNDS) -> np.ndarray:
-    """Feature weights (ROWS x CLASSES). Every round, tasks send observed and expected class counts per feature row."""
-    weights = np.zeros((ROWS, CLASSES))
-    weights[0] = np.log((unigram + 0.5) / (unigram + 0.5).sum())
-    schema = "row int, seen binary, meant binary"
-
-    def update(w):
+    at = np.arange(len(target))
+    own = z[at, target]
+    p = np.exp(z, out=z)
+    total = p.sum(1, keepdims=True)
+    p /= total
+    return own - np.log(total[:, 0]), p
+
+
+def _batches(seq, one, two, rows):
+    """Per batch of tokens: its place, and (level, features, targets) of both factors."""
+    for a in range(0, len(seq), BATCH):
+        s = slice(a, a + BATCH)
+        cell = cells(seq[s])
+        kind, group = cell // CLASSES, cell % CLASSES
+        yield s, ((0, class_rows(one[s], two[s], rows), kind), (1, group_rows(kind, one[s], two[s], rows), group))
+
+
+def log_probability(weights: np.ndarray, seq: np.ndarray, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """Of class and group of every token; weights: 2 x rows x CLASSES."""
+    out = np.zeros(len(seq))
+    for s, levels in _batches(seq, one, two, weights.shape[1]):
+        for level, features, target in levels:
+            out[s] += softmax(weights[level], features, target)[0]
+    return out
+
+
+def gradient(weights: np.ndarray, seq: np.ndarray, one: np.ndarray, two: np.ndarray, sums: np.ndarray, n: np.ndarray) -> None:
+    """Adds to sums (2 levels x rows x 2 x CLASSES) each weight row's observed minus expected outcomes, and the expected ones; to n the tokens of each row."""
+    for _, levels in _batches(seq, one, two, weights.shape[1]):
+        for level, features, target in levels:
+            _, p = softmax(weights[level], features, target)
+            both = np.empty((len(target), 2 * CLASSES), np.float32)
+            np.negative(p, out=both[:, :CLASSES])
+            both[np.arange(len(target)), target] += 1
+            both[:, CLASSES:] = p
+            for f in features:
+                order = np.argsort(f, kind="stable")
+                r = f[order]
+                starts = np.flatnonzero(np.concatenate(([True], r[1:] != r[:-1])))
+                sums[level, r[starts]] += np.add.reduceat(both[order], starts, axis=0)
+                n[level] += np.bincount(f, minlength=n.shape[1])
+
+
+def train(tokens: DataFrame, rows: int, n_cell: np.ndarray, rounds: int = ROUNDS) -> np.ndarray:
+    """Weights (2 x rows x CLASSES). The biases begin at the relative frequencies of classes and groups, n_cell."""
+    weights = np.zeros((2, rows, CLASSES), np.float32)
+    share = lambda n: np.log((n + 0.5) / (n + 0.5).sum(-1, keepdims=True))
+    weights[0, 0], weights[1, :CLASSES] = share(n_cell.reshape(CLASSES, -1).sum(1)), share(n_cell.reshape(CLASSES, -1))
+    schema = "level int, block int, n binary, sums binary"
+    width = min(BLOCK, rows)
+
+    def update(w: np.ndarray, round_: int):
         def run(batches):
-            table = [b for b in batches if b.num_rows]
-            if not table:
-                return
-            t = pa.Table.from_batches(table)
-            context, place = np.unique(t.column("context").to_numpy().astype(np.int64), return_inverse=True)
-            n = np.zeros((len(context), CLASSES))
-            n[place, t.column("class").to_numpy()] = t.column("n").to_numpy()
-            meant = np.exp(log_softmax(w, context)) * n.sum(1, keepdims=True)
-            rows, of = np.unique(features(context), return_inverse=True)
-            of = of.reshape(len(context), 4)
-            sums = np.zeros((2, len(rows), CLASSES))
-            for j in range(4):
-                np.add.at(sums[0], of[:, j], n)
-                np.add.at(sums[1], of[:, j], meant)
-            yield pa.RecordBatch.from_pydict({"row": pa.array(rows.astype(np.int32)), "seen": pa.array([x.tobytes() for x in sums[0]], pa.binary()), "meant": pa.array([x.tobytes() for x in sums[1]], pa.binary())})
+            sums, n = np.zeros((2, rows, 2 * CLASSES), np.float32), np.zeros((2, rows))
+            for r in _rows_of(batches):
+                counts = _unpack(r["counts"], np.int32).astype(np.int64)
+                mine = _unpack(r["train"], bool) & ((np.arange(len(counts)) + r["piece"] % 1_000_003) % rounds == round_)
+                if mine.any():
+                    at = _unpack(r["tokens"], np.int32)[np.repeat(mine, counts)]
+                    seq, one, two, _ = sequence(np.frombuffer(r["hashes"], np.uint64)[at], counts[mine])
+                    gradient(w, seq, one, two, sums, n)
+            mean = (sums / np.maximum(n, 1)[:, :, None]).astype(np.float16)
+            for level in (0, 1):
+                for b in range(0, rows, width):
+                    if n[level, b : b + width].any():
+                        yield pa.RecordBatch.from_pydict({"level": pa.array([level], pa.int32()), "block": pa.array([b], pa.int32()), "n": pa.array([_pack(n[level, b : b + width])], pa.binary()), "sums": pa.array([_pack(mean[level, b : b + width])], pa.binary())})
 
         return run
 
-    for _ in range(rounds):
-        seen, meant = np.zeros_like(weights), np.zeros_like(weights)
-        for r in contexts.mapInArrow(update(weights), schema).toLocalIterator():
-            seen[r.row] += np.frombuffer(r.seen)
-            meant[r.row] += np.frombuffer(r.meant)
-        weights = weights + np.clip((seen - meant) / (meant + 0.05 * seen + 1.0), -1.5, 1.5) * 0.5
+    def total(t: pa.Table) -> pa.Table:
+        n, sums = np.zeros(width), np.zeros((width, 2 * CLASSES))
+        for x, y in zip(t.column("n"), t.column("sums")):
+            own = _unpack(x.as_py(), np.float64)
+            n += own
+            sums += _unpack(y.as_py(), np.float16).reshape(width, -1) * own[:, None]
+        return pa.table({"level": t.column("level")[:1], "block": t.column("block")[:1], "n": pa.array([n.tobytes()], pa.binary()), "sums": pa.array([sums.astype(np.float32).tobytes()], pa.binary())})
+
+    pieces_ = tokens.select("piece", "train", "counts", "tokens", "hashes").coalesce(tokens.sparkSession.sparkContext.defaultParallelism)
+    for k in range(rounds):
+        sent = pieces_.mapInArrow(update(weights, k), schema).groupBy("level", "block").applyInArrow(total, schema)
+        step = np.zeros_like(weights)
+        for r in sent.toLocalIterator():  # a block of weight rows each
+            sums = np.frombuffer(r["sums"], np.float32).reshape(width, 2, CLASSES)
+            step[r["level"], r["block"] : r["block"] + width] = np.clip(sums[:, 0] / (sums[:, 1] + 2.0), -1.5, 1.5)
+        weights = weights + np.float32(RATE) * step
     return weights
 
 
 def score_corpus(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 10, held: int = 0) -> DataFrame:
     """Per document: doc id, held_out, n_tokens, n_known, train_tokens, base_score (unigrams), score (this model), both log10."""
-    spark = docs.sparkSession
-    buckets = 1 << max(6, (2 * int(spark.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length())
     tokens = _tokenised(docs, id_col, text_col, held, k)
-    counts = _word_counts(tokens, buckets)
-    each = counts.where("piece = -1").select(F.posexplode("each").alias("i", "x")).groupBy("i").agg(F.sum("x").alias("x")).collect()
-    per = np.zeros(3 * CLASSES)
+    words = _words(tokens)
+    totals = written(words.groupBy("hash").agg(F.sum("n").alias("total")), "totals")
+    # of each class and group: tokens, distinct words, words seen once; CLASSES ** 2 rows
+    each = totals.where("total > 0").groupBy(F.shiftrightunsigned("hash", 52).alias("cell")).agg(F.sum("total").alias("n"), F.count(F.lit(1)).alias("v"), F.count_if(F.col("total") == 1).alias("ones")).collect()
+    n_cell, v_cell, ones = np.zeros((3, CLASSES * CLASSES))
     for r in each:
-        per[r.i] = r.x
-    n_class, v_class, ones = per.reshape(3, CLASSES)
-    contexts = _contexts(tokens)
-    unigram = np.zeros(CLASSES)
-    for r in contexts.groupBy("class").agg(F.sum("n").alias("n")).collect():
-        unigram[r["class"]] = r.n
-    weights = train(contexts, unigram)
-    discard(contexts)
-    n_end = int(unigram[END])
-    n_all, v_all = int(n_class.sum()) + n_end, int(v_class.sum()) + (n_end > 0)
-    unseen = (ones + 0.5) / (n_class + 1.0)
-    unseen[n_class == 0] = 1.0
+        n_cell[r.cell], v_cell[r.cell], ones[r.cell] = r.n, r.v, r.ones
+    ends = lambda batches: (pa.RecordBatch.from_pydict({"n": [int(_unpack(r["train"], bool).sum())]}) for r in _rows_of(batches))
+    n_end = tokens.select("train").mapInArrow(ends, "n long").agg(F.sum("n")).first()[0] or 0
+    n_all, v_all = int(n_cell.sum()) + n_end, int(v_cell.sum()) + (n_end > 0)
     floor = np.log10(n_all + 0.1 * (v_all + 1))
+    end_cell = int(cells(np.array([END]))[0])
+    n_cell[end_cell] += n_end
+    unseen = (ones + 0.5) / (n_cell + 1.0)
+    unseen[n_cell == 0] = 1.0
+    bits = int(np.clip(np.ceil(np.log2(max(n_all, 1) / TOKENS_PER_ROW)), LEAST_BITS, MOST_BITS))
+    weights = train(tokens, 1 << bits, n_cell)
+    # every piece's words with their counts in all training texts
+    answers = words.select("hash", "piece", "at").join(totals, "hash").select("piece", "at", "total")
 
     def run(key, left: pa.Table, right: pa.Table) -> pa.Table:
         r = left.to_pylist()[0]
-        order = np.argsort(right.column("bucket").to_numpy())
-        answers = right.column("counts").to_pylist()
-        c = np.concatenate([_unpack(answers[i], np.int64) for i in order]) if len(order) else np.zeros(0, np.int64)
-        local, sizes = np.frombuffer(r["classes"], np.uint8).astype(np.int64), _unpack(r["counts"], np.int32).astype(np.int64)
-        at = _unpack(r["tokens"], np.int32)
-        with np.errstate(divide="ignore"):
-            inside = np.where(c > 0, np.log((1 - unseen[local]) * c / np.maximum(n_class[local], 1)), np.log(unseen[local]))
-        base = np.log10(c + 0.1) - floor
-        seq, context, ends = _histories(local[at], sizes)
-        distinct, place = np.unique(context, return_inverse=True)
-        lp = log_softmax(weights, distinct)[place, seq]
-        words = np.ones(len(seq), bool)
-        words[ends] = False
-        lp[words] += inside[at]
-        low = np.full(len(seq), np.log10(n_end + 0.1) - floor)
-        low[words] = base[at]
-        known = np.full(len(seq), int(n_end > 0))
-        known[words] = c[at] > 0
+        hashes, sizes, at = np.frombuffer(r["hashes"], np.uint64), _unpack(r["counts"], np.int32).astype(np.int64), _unpack(r["tokens"], np.int32)
+        count = np.zeros(len(hashes), np.int64)
+        count[right.column("at").to_numpy()] = right.column("total").to_numpy()
+        inside = lambda c, cell: np.log(np.where(c > 0, (1 - unseen[cell]) * c / np.maximum(n_cell[cell], 1), unseen[cell]))
+        seq, one, two, ends = sequence(hashes[at], sizes)
+        last = np.zeros(len(seq), bool)
+        last[ends] = True
+        score, base, known = log_probability(weights, seq, one, two), np.zeros(len(seq)), np.zeros(len(seq), np.int64)
+        for where, c, cell in ((~last, count, cells(hashes)), (last, np.array([n_end]), np.array([end_cell]))):
+            number = at if c is count else np.zeros(len(ends), np.int64)
+            score[where] += inside(c, cell)[number]
+            base[where] = (np.log10(c + 0.1) - floor)[number]
+            known[where] = (c > 0)[number]
         begin = np.concatenate(([0], ends[:-1] + 1))
-        missing = _unpack(r["missing"], bool)
         return pa.table({
-            id_col: pa.array(_unpack(r["ids"], np.int64), pa.int64(), mask=missing), "held_out": pa.array(~_unpack(r["train"], bool)), "n_tokens": pa.array(sizes + 1), "n_known": pa.array(np.add.reduceat(known, begin).astype(np.int64)),
-            "train_tokens": pa.array(np.full(len(sizes), n_all)), "base_score": pa.array(np.add.reduceat(low, begin)), "score": pa.array(np.add.reduceat(lp, begin) / np.log(10)),
+            id_col: pa.array(_unpack(r["ids"], np.int64), pa.int64(), mask=_unpack(r["missing"], bool)), "held_out": pa.array(~_unpack(r["train"], bool)), "n_tokens": pa.array(sizes + 1), "n_known": pa.array(np.add.reduceat(known, begin)),
+            "train_tokens": pa.array(np.full(len(sizes), n_all)), "base_score": pa.array(np.add.reduceat(base, begin)), "score": pa.array(np.add.reduceat(score, begin) / np.log(10)),
         })
 
     schema = f"{id_col} long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    replies = counts.where("piece <> -1").select("piece", "bucket", "counts")
-    return tokens.groupBy("piece").cogroup(replies.groupBy("piece")).applyInArrow(run, schema)
+    return tokens.groupBy("piece").cogroup(answers.groupBy("piece")).applyInArrow(run, schema)
 
 
 def op6_maxent(spark, sf_dir: str) -> DataFrame:

@@ -401,9 +401,86 @@ def test_language_model(spark, docs, nothing):
     assert lm.score_corpus(nothing).count() == 0
 
 
-def test_classes_are_a_distribution():
-    w = np.random.default_rng(0).normal(size=(lm.ROWS, lm.CLASSES))
-    assert np.allclose(np.exp(lm.log_softmax(w, np.arange(100))).sum(1), 1)
+def hashes_of(t):
+    return Words(pa.array([t], pa.string())).hashes.tolist()
+
+
+def test_language_model_by_brute_force(spark, docs, monkeypatch):
+    """score is the product of both softmaxes, summed outcome by outcome, and of the words' shares of their cells."""
+    w = np.random.default_rng(0).normal(size=(2, 256, lm.CLASSES)).astype(np.float32)
+    monkeypatch.setattr(lm, "train", lambda tokens, rows, n_cell: w)
+    rows = [(i, t) for i, t in rows_of(docs) if len(t or "") < 3000]
+    end, start, mask = int(lm.END), int(lm.START), (1 << 64) - 1
+    c = collections.Counter()
+    for i, t in rows:
+        if zlib.crc32(("" if i is None else str(i)).encode()) % 10:
+            c.update([*hashes_of(t), end])
+    cell = lambda h: h >> 52
+    n, ones = collections.Counter(), collections.Counter()
+    for h, k in c.items():
+        n[cell(h)] += k
+        ones[cell(h)] += k == 1 and h != end
+
+    def mixed(x):
+        x ^= x >> 32
+        x = x * 0x9E3779B97F4A7C15 & mask
+        x ^= x >> 29
+        x = x * 0xD6E8FEB86659FD93 & mask
+        return x ^ x >> 32
+
+    row = lambda kind, x, least: least + mixed(x + kind * 0x9E3779B97F4A7C15 & mask) % (256 - least)
+
+    def share(level, features, target):
+        z = [sum(float(w[level, f, k]) for f in features) for k in range(lm.CLASSES)]
+        return math.exp(z[target]) / sum(map(math.exp, z))
+
+    def logp(t):
+        seq, total = [start, start, *hashes_of(t), end], 0.0
+        for two, one, h in zip(seq, seq[1:], seq[2:]):
+            kind, group = divmod(cell(h), 64)
+            own = kind * 0xD6E8FEB86659FD93
+            p = share(0, (0, row(1, one, 1), row(2, two, 1), row(3, one * 3 + two, 1)), kind)
+            p *= share(1, (kind, row(4, one + own, 64), row(5, two + own, 64)), group)
+            unseen = (ones[cell(h)] + 0.5) / (n[cell(h)] + 1) if n[cell(h)] else 1.0
+            total += math.log10(p * ((1 - unseen) * c[h] / n[cell(h)] if c[h] else unseen))
+        return total
+
+    got = sorted((-1 if r.doc_id is None else r.doc_id, r.score) for r in lm.score_corpus(docs.where("text is null or length(text) < 3000")).collect())
+    want = sorted((-1 if i is None else i, logp(t)) for i, t in rows)
+    assert [i for i, _ in got] == [i for i, _ in want]
+    assert [x for _, x in got] == pytest.approx([x for _, x in want], abs=0.01)
+
+
+def test_gradient_is_that_of_the_likelihood():
+    r = np.random.default_rng(3)
+    w = r.normal(size=(2, 128, lm.CLASSES)).astype(np.float32)
+    hashes, counts = r.integers(0, 1 << 63, 12, dtype=np.uint64)[r.integers(0, 12, 60)], np.array([0, 40, 20])
+    seq, one, two, _ = lm.sequence(hashes, counts)
+    sums, n = np.zeros((2, 128, 2 * lm.CLASSES), np.float32), np.zeros((2, 128))
+    lm.gradient(w, seq, one, two, sums, n)
+    assert n[0, 0] == len(seq) == 63
+    for level, row, k in ((0, 0, 5), (1, *divmod(int(lm.cells(seq[:1])[0]), 64)), (0, int(lm.class_rows(one, two, 128)[2][7]), 9)):
+        up, down = w.astype(np.float64), w.astype(np.float64)
+        up[level, row, k] += 1e-3
+        down[level, row, k] -= 1e-3
+        slope = (lm.log_probability(up, seq, one, two).sum() - lm.log_probability(down, seq, one, two).sum()) / 2e-3
+        assert abs(slope - sums[level, row, k]) < 1e-2
+
+
+def test_training_raises_the_score(spark):
+    """Words that depend on the word before are told apart from their frequencies, on texts that training did not see."""
+    import random
+
+    r = random.Random(6)
+    nxt = {f"w{i}": [f"w{(i * 7 + j) % 50}" for j in (1, 2)] for i in range(50)}
+    rows = []
+    for i in range(400):
+        w = ["w0"]
+        while len(w) < 60:
+            w.append(r.choice(nxt[w[-1]]))
+        rows.append((i, " ".join(w)))
+    out = [r for r in lm.score_corpus(spark.createDataFrame(rows, "doc_id long, text string")).collect() if r.held_out]
+    assert sum(r.score for r in out) > 0.6 * sum(r.base_score for r in out)
 
 
 # ---- 8 near duplicates
