@@ -12,6 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from conftest import rows_of
+from pyspark.sql import functions as F
 
 from marlstone.llm import chat, decontam, licenses, lm, media, mixing, neardup, quality, toxicity, warc
 from marlstone.llm.common import Words
@@ -147,29 +148,89 @@ def test_media_reads_any_progressive_coding():
 
 def test_viterbi_is_the_best_path():
     r = np.random.default_rng(2)
-    start, move = chat._moves()
+    m = chat.model()
+    start, move = m["start"], m["move"]
     counts = np.array([3, 1, 4])
-    e = np.log(r.random((8, 6)))
-    got = chat.viterbi(e, counts)
+    e = r.integers(-1000, 0, (8, 6))
+    got = chat.viterbi(e, counts, m)
     for a, n in zip((0, 3, 4), counts):
-        best = max((tuple(p) for p in np.ndindex(*[6] * n)), key=lambda p: start[p[0]] + e[a, p[0]] + sum(move[p[i - 1], p[i]] + e[a + i, p[i]] for i in range(1, n)))
-        assert tuple(got[a : a + n]) == best
+        score = lambda p: start[p[0]] + e[a, p[0]] + sum(move[p[i - 1], p[i]] + e[a + i, p[i]] for i in range(1, n))
+        assert score(tuple(got[a : a + n])) == max(map(score, np.ndindex(*[6] * n)))
 
 
-def test_chat_recovers_roles(spark):
+def test_observations_and_emissions():
+    lines = ["User: how?", "", "  ", "Assistant:", "[system] x", "plain", "### human", "**AI:** yes", "a: b", "abba: c"]
+    o, cuts = chat.observations(lines, np.array([0, 5]))
+    assert o.tolist() == [[2, 0, 0, 1], [0, 1, 0, 0], [0, 1, 1, 0], [3, 0, 1, 0], [1, 0, 0, 0], [0, 0, 0, 0], [2, 0, 0, 0], [3, 0, 0, 0], [3, 0, 0, 0], [0, 0, 0, 0]]
+    assert [x[c:] for x, c in zip(lines, cuts)] == ["how?", "", "  ", "", "x", "plain", "", "yes", "b", "abba: c"]
+    p = lambda yes, x: x if yes else 1 - x
+    e = chat.emissions(o, chat.model()) / chat.SCALE
+    for i, (mark, blank, after, question) in enumerate(o.tolist()):
+        for s in range(6):
+            want = math.log(chat.MARKS[s][mark]) + math.log(p(blank, chat.BLANK[s])) + math.log(p(after, chat.AFTER_BLANK[s])) + math.log(p(question, chat.QUESTION[s]))
+            assert abs(e[i, s] - want) < 1e-5
+
+
+def chat_rows():
     rows = [(c, t, ("user", "assistant")[t % 2], f"some text {c} {t}" + ("?" if t % 2 == 0 else "."), 9) for c in range(30) for t in range(6)]
-    rows += [(None, 0, "user", "hello", 9), (99, None, None, None, 9), (98, 0, "user", "", 9), rows[0], rows[0]]
-    rows += [(77, 5, "user", f"copy {i}", 9) for i in range(700)]
-    conv = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, segment long")
-    t = chat.transcripts(conv)
-    out = chat.parse(t, ["conv_id", "segment", "part"]).collect()
-    truth = {(r.conv_id, r.segment, r.part): list(r.roles) for r in t.collect()}
-    ours = {(r.conv_id, r.segment, r.part): [x.role for x in r.turns] for r in out}
-    assert len(truth[0, 0, 0]) == 6
-    assert all(ours[c, 0, 0] == truth[c, 0, 0] for c in range(30))
-    assert max(len(v) for v in truth.values()) < 400 and sum(len(v) for k, v in truth.items() if k[0] == 77) == 700
-    assert chat.parse(spark.createDataFrame([(1, None), (2, "")], "i long, text string"), ["i"]).where("n_lines = 0 and rendered = ''").count() == 2
-    assert chat.parse(chat.transcripts(conv.limit(0)), ["conv_id"]).count() == 0
+    rows += [(None, 0, "user", "hello", 9), (None, 1, "assistant", "a\n\nb", 9), (99, None, None, None, 9), (98, 0, "user", "", 9), rows[0], rows[0]]
+    rows += [(77, 5, "user", f"copy {i}", 9) for i in range(300)] + [(78, 5, "user", "the same", 9)] * 50
+    rows += [(80, t, ("user", "assistant")[t % 2], f"line {t}\n\nmore of it" + ("?" if t % 2 == 0 else "."), 9) for t in range(100)]
+    return rows + [(79, t, ("user", "assistant")[t % 2], f"line {t}\nmore of it" + ("?" if t % 2 == 0 else "."), 9) for t in range(1000)]
+
+
+def decoded(spark, rows, m=None):
+    conv = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, n_lines long").repartition(3)
+    out = {}
+    for r in sorted(chat.parse_turns(chat.shown(conv), m).collect(), key=lambda r: (r.conv_id or -1, r.chunk)):
+        out.setdefault(r.conv_id, []).append(r)
+    return {c: ("".join(r.rendered for r in x), sum(r.n_lines for r in x), sum(r.n_roles_right for r in x), [t.role for r in x for t in r.turns if t.role]) for c, x in out.items()}, {c: len(x) for c, x in out.items()}
+
+
+def test_chat_recovers_roles_whatever_the_chunks(spark, monkeypatch):
+    rows = chat_rows()
+    whole, sizes = decoded(spark, rows)
+    assert set(sizes.values()) == {1}
+    assert all(whole[c][3] == ["user", "assistant"] * 3 for c in range(1, 30))
+    assert whole[79][3] == ["user", "assistant"] * 500 and whole[79][2] == 1000
+    # the chain over whole conversations, by plain loops
+    m = chat.model()
+    for c, (text, n, _, _) in whole.items():
+        if c in (77, 78):  # turns that share a number stand by a hash
+            continue
+        t = spark.createDataFrame(sorted({(i, (t is not None, t or 0), r, x) for i, t, r, x, _ in rows if i == c}) or [], "c long, t struct<a:boolean,b:long>, role string, text string").select(F.col("c").alias("conv_id"), F.when(F.col("t.a"), F.col("t.b")).alias("turn"), "role", "text")
+        shown = [r.shown for r in sorted(chat.shown(t).collect(), key=lambda r: (r.turn is not None, r.turn))]
+        if c == 0:
+            shown[:1] *= 3
+        lines = [x for s in shown for x in [*s.split("\n"), ""]]
+        o, cuts = chat.observations(lines, np.array([0]))
+        states = chat.viterbi(chat.emissions(o, m), np.array([len(lines)]), m).tolist()
+        assert (text, n) == (chat.turns_of(lines, cuts, o[:, 0].tolist(), states, True)[1], len(lines))
+    for chunk in (1, 100):
+        monkeypatch.setattr(chat, "CHUNK", chunk)
+        cut, sizes = decoded(spark, rows)
+        assert cut == whole and sizes[79] > 100
+    assert decoded(spark, rows[:0] + rows[-1:])[0][79][1] == 3
+
+
+def test_chat_learns(spark):
+    conv = spark.createDataFrame(chat_rows(), "conv_id long, turn long, role string, text string, n_lines long")
+    turns = chat.shown(conv.where("conv_id < 30 or conv_id = 79"))
+    m = chat.learn(turns)
+    q = np.exp(m["question"][1] / chat.SCALE)
+    assert q[2] < chat.QUESTION[2] and q[4] > chat.QUESTION[4] and m["start"].shape == (6,) and np.exp(m["move"][:, :] / chat.SCALE).sum(1) == pytest.approx(np.ones(6), abs=1e-3)
+    assert (chat.learn(turns.limit(0))["move"] == chat.model()["move"]).all()
+    got, _ = decoded(spark, chat_rows(), m)
+    assert got[79][2] == 1000
+
+
+def test_chat_of_raw_transcripts(spark):
+    d = spark.createDataFrame([(1, None), (2, ""), (3, "User: a?\n\nAssistant: b\nc\n\n"), (3, "\n")], "i long, text string")
+    got = sorted((r.i, r.n_lines, r.rendered) for r in chat.parse(d, ["i"]).collect())
+    assert got == [(1, 0, ""), (2, 0, ""), (3, 2, got[2][2]), (3, 5, "<|user|>\na?\n<|end|>\n<|assistant|>\nb\nc\n\n<|end|>\n")]
+    assert chat.parse(d.limit(0), ["i"]).count() == 0
+    empty = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
+    assert chat.parse_turns(chat.shown(empty)).count() == 0
 
 
 # ---- 3 toxicity and 7 quality
