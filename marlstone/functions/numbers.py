@@ -22,12 +22,18 @@ SCALES = (
     ("hundred", r"\bhundreds?\b", 1e-5),
     ("rupee", r"\bin\s+rupees\b|\bin\s+absolute\s+terms\b", 1e-7),
 )
-FOREIGN = r"(?i)\bUSD\b|\bUS\s*\$|\$\s*(?:mn|million|bn)|\bEUR\b|\bJPY\b|\bGBP\b|\bSDR\b"
+#: Marks of foreign currencies, of the rupee, of footnotes.
+FOREIGN = r"(?i)(\bUSD\b|\bUS\s*\$|\bU\.S\.\s*\$|\$\s*(?:mn|million|bn)|\bEUR\b|\bJPY\b|\bGBP\b|\bSDR\b)"
 _RUPEE = r"(?i)₹|\bRs\b\.?|\bINR\b|\bRupees\b"
 _MARKS = "[*†‡^#~º°¹²³⁰-₟]+"
 _CAPTION = r"(?i)\([^)]*\b(crore|lakh|million|billion|thousand)s?\b[^)]*\)|(?:₹|\bRs\.?|\bINR)\s+in\s+(?:crore|lakh|million|billion|thousand)s?"
 
 
+def let(value: Column, f) -> Column:
+    """f(value), with value evaluated once: what uses it many times stays small in the plan and in generated code."""
+    return F.element_at(F.transform(F.array(value), f), 1)
+
+
 def clean(c: Column) -> Column:
     """Dashes and blanks made alike, runs of blanks to one."""
     return F.trim(F.regexp_replace(F.translate(c, "–—−‐‑‒   ", "------   "), r"\s+", " "))
@@ -50,16 +56,20 @@ def _strip_units(c: Column) -> Column:
 
 def parse_number(c: Column) -> Column:
     """The number in a cell or null: footnote marks go first, brackets mean minus, one comma before one or two digits is a decimal comma."""
-    s = clean(F.regexp_replace(c, _MARKS, ""))
-    bracket = s.rlike(r"\(\s*[\d,.]+\s*\)")
-    plain = _strip_units(F.regexp_replace(s, r"\(\s*([\d,.]+)\s*\)", "$1"))
-    body = F.regexp_replace(F.trim(F.regexp_extract(plain, r"[-+]?\d[\d,.\s]*", 0)), " ", "")
-    minus = bracket | body.startswith("-")
-    digits = F.regexp_replace(body, r"^[-+]+", "")
-    digits = F.when(digits.rlike(r"^\d{1,3},\d{1,2}$"), F.regexp_replace(digits, ",", ".")).otherwise(F.regexp_replace(digits, ",", ""))
-    digits = F.regexp_replace(F.regexp_replace(digits, r"\.{2,}", "."), r"^\.+|\.+$", "")
-    value = F.when(digits.rlike(r"^\d*\.?\d+$"), digits.try_cast("double"))
-    return F.when(is_nil(s), F.lit(None).cast("double")).otherwise(F.when(minus, -value).otherwise(value))
+
+    def sized(s: Column) -> Column:
+        bracket = s.rlike(r"\(\s*[\d,.]+\s*\)")
+        plain = _strip_units(F.regexp_replace(s, r"\(\s*([\d,.]+)\s*\)", "$1"))
+        body = F.regexp_replace(F.trim(F.regexp_extract(plain, r"[-+]?\d[\d,.\s]*", 0)), " ", "")
+        return F.when(~is_nil(s), let(body, lambda b: signed(bracket | b.startswith("-"), F.regexp_replace(b, r"^[-+]+", ""))))
+
+    def signed(minus: Column, digits: Column) -> Column:
+        digits = let(digits, lambda x: F.when(x.rlike(r"^\d{1,3},\d{1,2}$"), F.regexp_replace(x, ",", ".")).otherwise(F.regexp_replace(x, ",", "")))
+        digits = F.regexp_replace(F.regexp_replace(digits, r"\.{2,}", "."), r"^\.+|\.+$", "")
+        value = let(digits, lambda x: F.when(x.rlike(r"^\d*\.?\d+$"), x.try_cast("double")))
+        return let(value, lambda v: F.when(minus, -v).otherwise(v))
+
+    return let(clean(F.regexp_replace(c, _MARKS, "")), sized)
 
 
 def parse_number_single(c: Column) -> Column:

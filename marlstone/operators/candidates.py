@@ -1,36 +1,44 @@
 """Candidate values: row labels and text lines against the alias dictionary, names against the institution list, evidence groups.
 
-The alias dictionary is a constant of 197 patterns, small by construction, so its side of the regex join is broadcast; the
-types filter comes before the join. Fuzzy ratios run only on labels that no pattern matches.
+The alias dictionary is a constant of 197 patterns: they are literals of one projection, so labels are neither shuffled nor
+met by a join. Fuzzy ratios run only on labels and documents that no pattern or name matches.
 """
 
 from __future__ import annotations
 
+import re
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marlstone.functions import numbers, text
 from marlstone.plans import dims
-from marlstone.sources import report
-from marlstone.sources.tables import inline, values_sql
+from marlstone.sources import reports
+from marlstone.sources.tables import inline, table, values_sql
 
 from . import pages as P
 
 
-def dictionary(s, kind: str) -> DataFrame:
-    """Aliases of the metrics that apply to an institution type (b, s, n, h, a)."""
-    m = dims.metrics(s).where(F.contains("types", F.lit(kind)))
-    return dims.aliases(s).join(m, "metric")
+def hits(label: Column, kind: Column) -> Column:
+    """Per metric that applies to the type (b, s, n, h, a) the first alias that matches: array of (metric, ord, excess, unit, low, high). All patterns are literals, compiled once."""
+    units = {m[0]: m for m in dims.METRICS}
+
+    def first(metric: str, patterns: list[str]) -> Column:
+        m = units[metric]
+        given = lambda x: F.lit(None if x is None else float(x)).cast("double")
+        each = [F.when(label.rlike(f"(?i){p}"), F.struct(F.lit(metric).alias("metric"), F.lit(i).alias("ord"), (F.length(label) - F.length(F.regexp_extract(label, f"(?i){p}", 0))).alias("excess"), F.lit(m[3]).alias("unit"), given(m[6]).alias("low"), given(m[7]).alias("high"))) for i, p in enumerate(patterns)]
+        return F.when(F.contains(F.lit(m[4]), kind), F.coalesce(*each))
 
+    return F.filter(F.array(*(first(m, p) for m, p in dims.ALIASES.items())), lambda x: x.isNotNull())
 
-def matched(labels: DataFrame, aliases: DataFrame, label: str, *keys: str) -> DataFrame:
-    """(keys, metric, pattern order, score): per label and metric the first pattern that matches; 100 for (nearly) the whole label, less for every further character. A % label matches ratios only."""
-    hit = labels.join(F.broadcast(aliases), F.expr(f"regexp_like({label}, pattern)"))
-    hit = hit.where(~F.contains(label, F.lit("%")) | F.col("unit").isin("percent", "ratio"))
-    excess = F.length(label) - F.expr(f"length(regexp_extract({label}, pattern, 0))")
-    score = F.when(excess <= 3, 100.0).otherwise(F.greatest(F.lit(70.0), 100.0 - 1.5 * excess))
-    return hit.groupBy(*keys, label, "metric").agg(F.min_by(F.struct(F.col("ord"), score.alias("score"), "unit", "low", "high"), "ord").alias("m")).select(*keys, label, "metric", "m.*")
+
+def matched(labels: DataFrame, label: str, kind: Column, *keys: str) -> DataFrame:
+    """(keys, label, metric, ord, score, unit, low, high): per label and metric the first pattern that matches the cleaned label; 100 for (nearly) the whole label, less for every further character. A % label matches ratios only."""
+    found = labels.select(*keys, label, F.explode(numbers.let(text.clean_label(F.col(label)), lambda x: hits(x, kind))).alias("m")).select(*keys, label, "m.*")
+    found = found.where(~F.contains(label, F.lit("%")) | F.col("unit").isin("percent", "ratio"))
+    score = F.when(F.col("excess") <= 3, 100.0).otherwise(F.greatest(F.lit(70.0), 100.0 - 1.5 * F.col("excess")))
+    return found.select(*keys, label, "metric", "ord", score.alias("score"), "unit", "low", "high")
 
 
 def fuzzy(labels: DataFrame, metrics: DataFrame, label: str, least: float = 90.0) -> DataFrame:
@@ -39,27 +47,56 @@ def fuzzy(labels: DataFrame, metrics: DataFrame, label: str, least: float = 90.0
     return pairs.where(F.col("ratio") >= least).groupBy(label).agg(F.max_by("metric", F.struct("ratio", "metric")).alias("metric"), F.max("ratio").alias("ratio"))
 
 
-def from_tables(s, kind: str = "b") -> DataFrame:
-    """One candidate per matched row and year column: amounts in crore, bare years and blanks out."""
-    cells = report.cells(s)
-    labels = P.row_labels(cells.where("r > 0"))
-    hits = matched(labels, dictionary(s, kind), "label", "page", "table_id", "r")
-    years = P.column_years(cells, (2023, 2022))
-    values = cells.where("r > 0").join(years, ["page", "table_id", "c"])
-    v = numbers.parse_number(F.col("cell"))
-    scale = F.coalesce(numbers.factor(numbers.scale_name(F.col("caption"))), F.lit(1.0))
-    values = values.withColumn("raw", v).where(F.col("raw").isNotNull() & ~F.col("cell").rlike(r"^\s*(?:19|20)\d{2}\s*$"))
-    out = hits.join(values, ["page", "table_id", "r"])
-    return out.select("metric", "page", "section", "table_id", "r", "c", "y", "label", "score", F.when(F.col("unit") == "currency", F.col("raw") * scale).otherwise(F.col("raw")).alias("value"), "unit", "low", "high")
+#: Metrics that a bare total may stand for.
+TOTALS = ("total_assets", "total_deposits", "gross_advances", "net_worth")
+
+
+def table_scales(cells: DataFrame, pages: DataFrame | None, by: list[str]) -> DataFrame:
+    """(by, page, table_id, scale, foreign): the unit of a table by its caption, else by its first three rows, else by the head of its page; a foreign currency ends the search."""
+    t = cells.where("r < 3").groupBy(*by, "page", "table_id").agg(F.max("caption").alias("caption"), F.array_join(F.array_sort(F.collect_list("cell")), " ").alias("rows"))
+    t = t.withColumn("head", F.lit(None).cast("string")) if pages is None else t.join(pages.select(*by, "page", F.substring("body", 1, 600).alias("head")), [*by, "page"], "left")
+    read = lambda c: F.struct(numbers.scale_name(F.col(c)).alias("scale"), numbers.is_foreign(F.col(c)).alias("foreign"))
+    sure = F.filter(F.array(*(read(c) for c in ("caption", "rows", "head"))), lambda x: x["scale"].isNotNull() | x["foreign"])
+    return t.select(*by, "page", "table_id", F.get(sure, F.lit(0)).alias("s")).select(*by, "page", "table_id", "s.scale", F.coalesce("s.foreign", F.lit(False)).alias("foreign"))
+
+
+def from_tables(cells: DataFrame, docs: DataFrame, pages: DataFrame | None = None, by: tuple[str, ...] = ("doc_id",), drop_foreign: bool = False, fail_closed: bool = False) -> DataFrame:
+    """One candidate per matched row and column that is numeric or has a year. Amounts are in crore; bare years and blanks are out, and bare totals but for TOTALS.
 
+    docs has kind and fy. drop_foreign: tables in a foreign currency give nothing (else is_foreign says so); fail_closed:
+    metrics without a range give nothing."""
+    by2, place = (*by, "kind", "fy"), ["page", "table_id"]
+    c = cells.join(docs.select(*by2), list(by))
+    body = c.where("r > 0")
+    found = matched(P.row_labels(body, by2), "label", F.col("kind"), *by2, *place, "r")
+    found = found.where(~F.lower(F.trim("label")).isin("total", "grand total") | F.col("metric").isin(*TOTALS))
+    if fail_closed:
+        found = found.where("low is not null and high is not null")
+    named, numeric = P.column_years(c, by2), P.numeric_columns(c, by2)
+    bare = numeric.join(named.select(*by2, *place).distinct(), [*by2, *place], "left_anti")
+    years = named.withColumn("resolved", F.lit(True)).unionByName(P.assumed_years(bare, by2).withColumnRenamed("sure", "resolved"))
+    columns = numeric.select(*by2, *place, "c").union(named.select(*by2, *place, "c")).distinct().join(years, [*by2, *place, "c"], "left")
+    scales = table_scales(c, pages, list(by))
+    values = body.join(columns, [*by2, *place, "c"]).withColumn("raw", numbers.parse_number(F.col("cell"))).where(F.col("raw").isNotNull() & ~F.col("cell").rlike(r"^\s*(?:19|20)\d{2}\s*$"))
+    out = found.join(values, [*by2, *place, "r"]).join(scales, [*by, *place], "left")
+    if drop_foreign:
+        out = out.where("not foreign")
+    currency = F.col("unit") == "currency"
+    return out.select(
+        *by, "metric", "page", "section", "table_id", "r", "c", "y", F.coalesce("resolved", F.lit(False)).alias("resolved"), "label", "score", F.when(currency, F.col("raw") * F.coalesce(numbers.factor(F.col("scale")), F.lit(1.0))).otherwise(F.col("raw")).alias("value"),
+        "unit", "low", "high", (currency & F.col("foreign")).alias("is_foreign"), (currency & F.col("scale").isNull()).alias("inferred"),
+    )
 
-def from_lines(s, kind: str = "b") -> DataFrame:
-    """One candidate per metric and line: the first number within 90 characters after the alias."""
-    ls = P.lines(report.pages(s), "body", "page")
-    hit = ls.join(F.broadcast(dictionary(s, kind)), F.expr("regexp_like(line, pattern)"))
-    tail = F.expr("substring(line, length(regexp_extract(line, concat('(?s)^(.*?)(?:', pattern, ')'), 0)) + 1, 90)")
-    hit = hit.withColumn("value", numbers.parse_number(F.regexp_extract(tail, r"\(?-?\d[\d,]*(?:\.\d+)?\)?", 0))).where("value is not null")
-    return hit.groupBy("page", "line_no", "metric").agg(F.min_by("value", "ord").alias("value"))
+
+def from_lines(pages: DataFrame, docs: DataFrame, by: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """One candidate per metric and line: the first number within 90 characters after the alias, of the first alias that has one."""
+    types = {m[0]: m[4] for m in dims.METRICS}
+    tail = lambda p: F.substring(F.col("line"), F.length(F.regexp_extract("line", f"(?s)^(.*?)(?:(?i){p})", 0)) + 1, F.lit(90))
+    each = [F.when(F.contains(F.lit(types[m]), F.col("kind")) & F.col("line").rlike(f"(?i){p}"), F.struct(F.lit(m).alias("metric"), F.lit(i).alias("ord"), tail(p).alias("tail"))) for m, patterns in dims.ALIASES.items() for i, p in enumerate(patterns)]
+    ls = P.lines(pages, "body", *by, "page").join(docs.select(*by, "kind"), list(by))
+    found = ls.select(*by, "page", "line_no", F.explode(F.filter(F.array(*each), lambda x: x.isNotNull())).alias("m")).select(*by, "page", "line_no", "m.*")
+    found = found.withColumn("value", numbers.parse_number(F.regexp_extract("tail", r"\(?-?\d[\d,]*(?:\.\d+)?\)?", 0))).where("value is not null")
+    return found.groupBy(*by, "page", "line_no", "metric").agg(F.min_by("value", "ord").alias("value"))
 
 
 def evidence(candidates: DataFrame, by: list[str], value: str, order: list[str], tolerance: float = 0.005) -> DataFrame:
@@ -83,50 +120,141 @@ def evidence(candidates: DataFrame, by: list[str], value: str, order: list[str],
     return candidates.select(*by, *order, value).groupBy(*by).applyInPandas(run, schema)
 
 
-def identified(pages: DataFrame, institutions: DataFrame) -> DataFrame:
-    """Institution of a document: long names found on the cover or elsewhere score by their words; the best, ties by name."""
-    names = institutions.select("institution", "category", "type", F.explode(F.split(F.concat_ws("|", "institution", "short_names"), r"\|")).alias("name")).where("name <> ''")
-    names = names.withColumn("k", text.name_key(F.col("name")))
-    keyed = pages.select("page", F.concat(F.lit(" "), text.name_key(F.regexp_replace("body", "\n", " ")), F.lit(" ")).alias("body"))
-    hit = keyed.join(F.broadcast(names), F.expr("contains(body, concat(' ', k, ' '))"))
-    words = F.size(F.split("k", " "))
-    score = F.least(F.lit(1.0), 0.55 + 0.05 * words) * 90 * F.when(F.col("page") == 1, 1.0).otherwise(0.7)
-    best = hit.groupBy("institution", "category", "type").agg(F.round(F.max(score), 4).alias("score")).where("score >= 45")
-    return best.orderBy(F.col("score").desc(), "institution").limit(1)
+def _names() -> list[tuple[int, str, str]]:
+    return [(i, r[0], n) for i, r in enumerate(dims.INSTITUTIONS) for n in [r[0], *r[3].split("|")] if n]
+
+
+def haystacks(pages: DataFrame, by: list[str]) -> DataFrame:
+    """(by, place, weight, text): where a document names its institution: the first six pages, up to three of the auditors' report, the first two lines of the first forty."""
+    w = Window.partitionBy(*by).orderBy("page")
+    auditor = F.col("body").rlike(r"(?i)independent\s+auditors?.{0,3}\s+report|to\s+the\s+members\s+of")
+    p = pages.select(*by, "page", "body", F.row_number().over(w).alias("n"), F.when(auditor, F.sum(auditor.cast("int")).over(w)).alias("a"))
+    part = lambda name, weight, cond, x: F.when(cond, F.struct(F.lit(name).alias("place"), F.lit(weight).alias("weight"), x.alias("text")))
+    parts = F.array(part("cover", 1.0, F.col("n") <= 6, F.col("body")), part("auditor", 0.9, F.col("a") <= 3, F.col("body")), part("headers", 0.7, F.col("n") <= 40, F.array_join(F.slice(F.split("body", "\n"), 1, 2), "\n")))
+    return p.select(*by, F.explode(F.filter(parts, lambda x: x.isNotNull())).alias("x")).select(*by, "x.*")
+
+
+def identified(pages: DataFrame, by: list[str], fuzzy_names: bool = True) -> DataFrame:
+    """(by, institution, category, type, confidence) of every document: a registered number is sure, names count by their words and place, an exchange symbol on the cover adds 5; the best of 45 or more, ties in the list's order.
+
+    Documents without any are looked at for names with a slip (fuzzy_names), and at last take the first fitting line of their first page: a non-bank if it speaks of finance."""
+    hay, keyed = haystacks(pages, by), F.concat(F.lit(" "), text.name_key(F.regexp_replace("text", "\n", " ")), F.lit(" "))
+    names = F.array(*(F.struct(F.lit(i).alias("i"), F.lit(_key(n)).alias("k")) for i, _, n in _names()))
+    cins = F.array(*(F.struct(F.lit(i).alias("i"), F.lit(dims.CINS[r[0]].lower()).alias("k")) for i, r in enumerate(dims.INSTITUTIONS) if r[0] in dims.CINS))
+    marks = F.array(*(F.when((F.col("place") == "cover") & F.col("text").rlike(rf"(?i)\b{re.escape(dims.TICKERS[r[0]])}\b"), F.lit(i)) for i, r in enumerate(dims.INSTITUTIONS) if r[0] in dims.TICKERS))
+    within = numbers.let(keyed, lambda key: F.filter(names, lambda x: F.contains(key, F.concat(F.lit(" "), x["k"], F.lit(" ")))))
+    named = F.transform(within, lambda x: F.struct(x["i"].alias("i"), (F.least(F.lit(1.0), 0.55 + 0.05 * F.size(F.split(x["k"], " "))) * 90 * F.col("weight")).alias("s"), F.lit(0.0).alias("t")))
+    sure = F.transform(numbers.let(F.lower("text"), lambda t: F.filter(cins, lambda x: F.contains(t, x["k"]))), lambda x: F.struct(x["i"].alias("i"), F.lit(100.0).alias("s"), F.lit(0.0).alias("t")))
+    marked = F.transform(F.filter(marks, lambda x: x.isNotNull()), lambda i: F.struct(i.alias("i"), F.lit(0.0).alias("s"), F.lit(5.0).alias("t")))
+    each = hay.select(*by, F.explode(F.concat(named, sure, marked)).alias("x")).groupBy(*by, "x.i").agg((F.max("x.s") + F.max("x.t")).alias("score"))
+    best = each.groupBy(*by).agg(F.max(F.struct("score", (-F.col("i")).alias("i"))).alias("b")).where("b.score >= 45").select(*by, (-F.col("b.i")).alias("i"), F.least(F.lit(100.0), F.round("b.score", 4)).alias("confidence"))
+    if fuzzy_names:
+        best = best.union(slipped(hay.withColumn("key", keyed).join(best, by, "left_anti"), by))
+    rows = F.broadcast(inline(pages.sparkSession, "i, institution, category, type", [(i, *r[:3]) for i, r in enumerate(dims.INSTITUTIONS)]))  # 36 rows
+    known = best.join(rows, "i").select(*by, "institution", "category", "type", "confidence")
+    w = Window.partitionBy(*by).orderBy("page")
+    cover = pages.join(known, by, "left_anti").withColumn("n", F.row_number().over(w)).where("n = 1")
+    guess = F.coalesce(F.get(F.filter(F.split("body", "\n"), lambda x: F.length(F.trim(x)).between(6, 70) & x.rlike("[A-Za-z]")), F.lit(0)), F.lit("unknown"))
+    finance = F.lower(F.col("institution")).rlike(r"\bfinance\b")
+    other = cover.select(*by, F.trim(guess).alias("institution")).select(*by, "institution", F.when(finance, "NBFC").otherwise("Private Sector Bank"), F.when(finance, "nbfc").otherwise("bank"), F.lit(0.0))
+    return known.union(other)
 
 
-def nearest_row(names: DataFrame, rows: DataFrame, least: float = 0.85) -> DataFrame:
-    """Existing row of a name: equal key, else the best sequence ratio, .90 at least where one holds the other. rows are a template's institutions, tens of them."""
+def slipped(hay: DataFrame, by: list[str], least: float = 95.0) -> DataFrame:
+    """(by, i, confidence): names of 12 letters or more that a text has nearly (ratio 95 or more), at 0.75 of the ratio by place. Only runs of as many words that share a word and a length (within one) with the name are compared."""
+    names = [(i, n) for i, _, n in _names()]
+    spark = hay.sparkSession
+    list_ = inline(spark, "i, name", names).select("i", text.name_key(F.col("name")).alias("k")).where(F.length("k") >= 12).withColumn("words", F.split("k", " "))
+    tokens = F.broadcast(list_.select("i", "k", F.size("words").alias("n"), F.explode(F.array_distinct("words")).alias("token")).where(F.length("token") >= 4))  # of 36 institutions
+    words = F.split(F.trim(F.substring("key", 1, 4000)), " ")
+    at = hay.select(*by, "weight", words.alias("words")).select(*by, "weight", "words", F.posexplode("words").alias("at", "token")).join(tokens, "token")
+    runs = F.transform(F.sequence(F.greatest(F.col("at") - F.col("n") + 1, F.lit(0)), F.col("at")), lambda b: F.array_join(F.slice(F.col("words"), b + 1, F.col("n")), " "))
+    pairs = at.select(*by, "weight", "i", "k", F.explode(F.array_distinct(runs)).alias("run")).where(F.abs(F.length("run") - F.length("k")) <= 1).distinct()
+    near = pairs.withColumn("ratio", text.partial_ratio(F.col("k"), F.col("run"))).where(F.col("ratio") >= least)
+    best = near.groupBy(*by).agg(F.max(F.struct((0.75 * F.col("ratio") * F.col("weight")).alias("s"), (-F.col("i")).alias("i"))).alias("b"))
+    return best.where("b.s >= 45").select(*by, (-F.col("b.i")).alias("i"), F.round("b.s", 4).alias("confidence"))
+
+
+def nearest_row(names: DataFrame, rows: DataFrame, least: float = 0.85, token_set: bool = False) -> DataFrame:
+    """Existing row of a name: equal key, else the best sequence ratio, .90 at least where one holds the other; token_set: else the best token-set ratio of 88 or more. rows are a template's institutions, tens of them."""
     a = names.select("name", text.name_key(F.col("name")).alias("k"))
     b = rows.select("existing", text.name_key(F.col("existing")).alias("e"))
+    if token_set:
+        pairs = a.crossJoin(F.broadcast(b)).withColumn("ratio", F.when(F.col("k") == F.col("e"), 100.0).otherwise(text.token_set_ratio(F.col("k"), F.col("e"))))
+        best = pairs.groupBy("name").agg(F.max(F.struct("ratio", "existing")).alias("b"))
+        return best.select("name", F.when(F.col("b.ratio") >= 88, F.col("b.existing")).alias("existing"))
     r = text.sequence_ratio(F.col("k"), F.col("e"))
     pairs = a.crossJoin(b).withColumn("ratio", F.when(F.col("k") == F.col("e"), 1.0).otherwise(F.greatest(r, F.when(F.contains("k", F.col("e")) | F.contains("e", F.col("k")), 0.9).otherwise(0.0))))
     best = pairs.groupBy("name").agg(F.max(F.struct("ratio", "existing")).alias("b"))
     return best.select("name", F.when(F.col("b.ratio") >= least, F.col("b.existing")).alias("existing"))
 
 
-def first_seen_mode(df: DataFrame, key: str, pos: str) -> DataFrame:
-    """The commonest value; the one seen first wins ties."""
-    return df.groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.min(pos).alias("p")).agg(F.max_by(key, F.struct("n", (-F.col("p")).alias("q"))).alias("winner"))
+def first_seen_mode(df: DataFrame, by: str, key: str, pos: str) -> DataFrame:
+    """The commonest value of each document; the one seen first wins ties."""
+    return df.groupBy(by, key).agg(F.count(F.lit(1)).alias("n"), F.min(pos).alias("p")).groupBy(by).agg(F.max_by(key, F.struct("n", (-F.col("p")).alias("q"))).alias("winner"))
+
+
+def _key(s: str) -> str:
+    """name_key of a constant."""
+    s = re.sub(r"\b(?:limited|ltd|pvt|private|corporation|corp|inc|the)\b", " ", re.sub("[^a-z0-9& ]", " ", s.lower()))
+    return re.sub(r"\s+", " ", s).strip()
 
 
-_LABELS = [("Total Assets",), ("Deposits",), ("Gross NPA (%)",), ("Total assets of the group at the end",), ("Nothing known",)]
 _ALIASES = values_sql("metric, ord, pattern", dims.alias_rows())
 _METRICS = values_sql("metric, header, band, unit, types, tier, low, high, negative", dims.METRICS)
-_CANDS = [("nii", 1, 62129.0), ("nii", 2, 62100.0), ("nii", 3, 47466.1), ("nii", 4, 62129.0), ("pat", 1, 31896.5), ("pat", 2, 30000.0)]
-_RATINGS = [(1, "AA+"), (2, "AAA"), (3, "AAA"), (4, "AA+"), (5, "A")]
-_TRUTH = [("gnpa_amount", 31183.7), ("nnpa_amount", 5155.07), ("gross_advances", 1019638.31), ("interest_earned", 109231.34), ("interest_expended", 47102.74), ("nii", 62129.0), ("opex", 32873.24), ("pat", 31896.5), ("total_assets", 1584206.65), ("total_deposits", 1180840.7), ("other_income", 19883.14), ("net_worth", 204000.0), ("employee_costs", 12376.11), ("total_provisions", 16667.11)]
+_CELLS, _DOCS, _PAGES = (f"{x} AS {n}" for x, n in ((reports.CELLS_SQL, "cells_"), (reports.DOCS_SQL, "docs_"), (reports.PAGES_SQL, "pages_")))
+#: Labels that match, per type, by the dictionary.
+_MATCH = f"""WITH lab AS (SELECT doc_id, kind, fy, page, r, cell AS label FROM {_CELLS} JOIN {_DOCS} USING (doc_id) WHERE r > 0 AND c = 0),
+u AS (SELECT DISTINCT label, kind FROM lab),
+h AS (SELECT u.label, u.kind, a.metric, a.ord, m.unit, length(u.label) - length(regexp_extract(lower(u.label), a.pattern)) AS excess FROM u JOIN {_ALIASES.replace(' t(', ' a(')} ON regexp_matches(lower(u.label), a.pattern) JOIN {_METRICS.replace(' t(', ' m(')} ON m.metric = a.metric WHERE contains(m.types, u.kind) AND (NOT contains(u.label, '%') OR m.unit IN ('percent', 'ratio'))),
+b AS (SELECT label, kind, metric, unit, CAST(arg_min(CASE WHEN excess <= 3 THEN 100 ELSE greatest(70, 100 - 1.5 * excess) END, ord) AS DOUBLE) AS score FROM h GROUP BY ALL)
+"""
+_TABLES = _MATCH + f""", v AS (SELECT doc_id, page, r, c, CAST(replace(cell, ',', '') AS DOUBLE) AS raw, caption FROM {_CELLS} WHERE r > 0 AND c > 0 AND regexp_matches(cell, '^[0-9,.]+$') AND NOT regexp_matches(cell, '^(19|20)[0-9][0-9]$')),
+found AS (SELECT lab.doc_id, b.metric, lab.page, lab.r, v.c, CAST(lab.fy + 1 - v.c AS INTEGER) AS y, lab.doc_id % 5 <> 4 AS resolved, b.score, CASE WHEN b.unit = 'currency' THEN v.raw * CASE WHEN contains(v.caption, 'lakh') THEN CAST(0.01 AS DOUBLE) WHEN contains(v.caption, 'million') THEN CAST(0.1 AS DOUBLE) ELSE CAST(1 AS DOUBLE) END ELSE v.raw END AS value
+  FROM lab JOIN b ON lab.label = b.label AND lab.kind = b.kind JOIN v ON lab.doc_id = v.doc_id AND lab.page = v.page AND lab.r = v.r)
+"""
+_NUM = r"\(?-?\d[\d,]*(?:\.\d+)?\)?"
+_TEXT = f"""ls AS (SELECT doc_id, kind, page, CAST(i - 1 AS INTEGER) AS line_no, line FROM (SELECT doc_id, kind, page, string_split(body, chr(10)) AS ls FROM {_PAGES}), unnest(ls) WITH ORDINALITY AS t(line, i)),
+tx AS (SELECT doc_id, page, line_no, a.metric, a.ord, regexp_extract(substr(line, length(regexp_extract(line, concat('(?s)^(.*?)(?:', a.pattern, ')'), 0)) + 1, 90), '{_NUM}') AS n FROM ls JOIN {_ALIASES.replace(' t(', ' a(')} ON regexp_matches(line, a.pattern) JOIN {_METRICS.replace(' t(', ' m(')} ON m.metric = a.metric WHERE contains(m.types, kind)),
+tl AS (SELECT doc_id, page, line_no, metric, arg_min(CAST(replace(n, ',', '') AS DOUBLE), ord) AS value FROM tx WHERE n <> '' GROUP BY ALL)
+"""
+_NAMED = values_sql("i, institution, category, type, k, words", [(i, n, *dims.INSTITUTIONS[i][1:3], _key(x), len(_key(x).split())) for i, n, x in _names()])
+_CINS = values_sql("i, cin", [(i, dims.CINS[r[0]].lower()) for i, r in enumerate(dims.INSTITUTIONS) if r[0] in dims.CINS])
+_TICKS = values_sql("i, ticker", [(i, dims.TICKERS[r[0]]) for i, r in enumerate(dims.INSTITUTIONS) if r[0] in dims.TICKERS])
+_KEYED = r"' ' || trim(regexp_replace(regexp_replace(regexp_replace(lower(x), '[^a-z0-9& ]', ' ', 'g'), '\b(?:limited|ltd|pvt|private|corporation|corp|inc|the)\b', ' ', 'g'), '\s+', ' ', 'g')) || ' '"
+_INSTITUTION = rf"""WITH p AS (SELECT doc_id, page, body, row_number() OVER w AS n, CASE WHEN aud THEN SUM(CASE WHEN aud THEN 1 ELSE 0 END) OVER w END AS a FROM (SELECT *, regexp_matches(body, '(?i)independent\s+auditors?.{{0,3}}\s+report|to\s+the\s+members\s+of') AS aud FROM {_PAGES}) WINDOW w AS (PARTITION BY doc_id ORDER BY page)),
+x AS (SELECT doc_id, 1.0 AS w, body AS x FROM p WHERE n <= 6 UNION ALL SELECT doc_id, 0.9, body FROM p WHERE a <= 3 UNION ALL SELECT doc_id, 0.7, array_to_string(string_split(body, chr(10))[1:2], chr(10)) FROM p WHERE n <= 40),
+e AS (SELECT doc_id, i, CAST(least(1.0, 0.55 + 0.05 * words) * 90 * w AS DOUBLE) AS s, 0 AS t FROM (SELECT *, {_KEYED} AS key FROM x) JOIN {_NAMED} ON contains(key, ' ' || k || ' ')
+  UNION ALL SELECT doc_id, i, 100, 0 FROM x JOIN {_CINS} ON contains(lower(x), cin)
+  UNION ALL SELECT doc_id, i, 0, 5 FROM x JOIN {_TICKS} ON w = 1.0 AND regexp_matches(x, '(?i)\b' || regexp_escape(ticker) || '\b')),
+g AS (SELECT doc_id, i, MAX(s) + MAX(t) AS score FROM e GROUP BY ALL),
+b AS (SELECT doc_id, arg_max(i, (score, -i)) AS i, MAX(score) AS score FROM g GROUP BY doc_id HAVING MAX(score) >= 45),
+f AS (SELECT doc_id, trim(list_filter(string_split(body, chr(10)), lambda l: length(trim(l)) BETWEEN 6 AND 70)[1]) AS guess FROM p WHERE n = 1 AND doc_id NOT IN (SELECT doc_id FROM b))
+SELECT doc_id, institution, category, type, least(CAST(100 AS DOUBLE), ROUND(score, 4)) AS confidence FROM b JOIN (SELECT DISTINCT i, institution, category, type FROM {_NAMED}) USING (i)
+UNION ALL SELECT doc_id, guess, CASE WHEN regexp_matches(lower(guess), '\bfinance\b') THEN 'NBFC' ELSE 'Private Sector Bank' END, CASE WHEN regexp_matches(lower(guess), '\bfinance\b') THEN 'nbfc' ELSE 'bank' END, CAST(0 AS DOUBLE) FROM f"""
+#: Candidates near and far from a value.
+_NEAR = values_sql("seq, times", [(1, 1.0), (2, 1.002), (3, 1.2), (4, 0.9985), (5, 1.2005), (6, 3.0)])
+
+
+def _labels(s, d) -> DataFrame:
+    return P.row_labels(reports.cells(s, d).where("r > 0")).join(reports.docs(s, d).select("doc_id", "kind", "fy"), "doc_id")
+
+
+def _near(s, d) -> DataFrame:
+    k = F.broadcast(s.sql(f"SELECT * FROM {_NEAR}"))  # six rows
+    return reports.values(s, d).where("value > 0 and num > 0").join(k, F.col("doc_id") % 6 + 1 >= F.col("seq")).select("doc_id", "metric", "seq", (F.col("value") * F.col("times")).alias("value"))
+
 
 QUERIES = {
-    "alias_match": (lambda s, d: matched(inline(s, "label", _LABELS), dictionary(s, "b"), "label").select("label", "metric", "score"), f"WITH h AS (SELECT l.label, a.metric, a.ord, m.unit, length(l.label) - length(regexp_extract(l.label, a.pattern)) AS excess FROM {values_sql('label', _LABELS).replace(' t(', ' l(')} JOIN {_ALIASES.replace(' t(', ' a(')} ON regexp_matches(l.label, a.pattern) JOIN {_METRICS.replace(' t(', ' m(')} ON m.metric = a.metric WHERE contains(m.types, 'b') AND (NOT contains(l.label, '%') OR m.unit IN ('percent', 'ratio'))) SELECT label, metric, CAST(arg_min(CASE WHEN excess <= 3 THEN 100 ELSE greatest(70, 100 - 1.5 * excess) END, ord) AS DOUBLE) AS score FROM h GROUP BY label, metric"),
+    "alias_match": (lambda s, d: matched(_labels(s, d), "label", F.col("kind"), "doc_id", "page", "r").select("doc_id", "page", "r", "metric", "score"), _MATCH + "SELECT doc_id, page, r, metric, score FROM lab JOIN b ON lab.label = b.label AND lab.kind = b.kind"),
     "fuzzy_match": (lambda s, d: fuzzy(inline(s, "label", [("Dividend Yields %",), ("zzz",)]), dims.metrics(s), "label"), f"SELECT label, metric, ratio FROM {values_sql('label, metric, ratio', [('Dividend Yields %', 'dividend_yield', 93.75)])}"),
-    "cand_table": (lambda s, d: from_tables(s).where("y = 2023").join(inline(s, "metric, truth", _TRUTH), "metric").groupBy("metric").agg(F.max((F.abs(F.col("value") - F.col("truth")) <= 0.01 * F.col("truth")).cast("int")).alias("found")), f"SELECT metric, CAST(1 AS INTEGER) AS found FROM {values_sql('metric, truth', _TRUTH)}"),
-    "cand_text": (lambda s, d: from_lines(s).where("metric in ('pat', 'casa_ratio', 'nii', 'interest_earned')").select("page", "metric", "value"), f"SELECT page, metric, value FROM {values_sql('page, metric, value', [(3, 'interest_earned', 109231.34), (4, 'interest_earned', 62129.0), (4, 'nii', 62129.0), (7, 'casa_ratio', 45.8), (7, 'pat', 30000.0)])}"),
-    "cand_union": (lambda s, d: from_tables(s).select("metric", "page", "value").unionByName(from_lines(s).select("metric", "page", "value")).where("metric = 'nii'").distinct(), f"SELECT metric, page, value FROM {values_sql('metric, page, value', [('nii', 4, 62129.0), ('nii', 4, 47466.1), ('nii', 5, 62129.0), ('nii', 5, 47466.1)])}"),
-    "evidence_groups": (lambda s, d: evidence(inline(s, "metric, seq, value", _CANDS), ["metric"], "value", ["seq"]), f"SELECT metric, seq, value, CAST(g AS INTEGER) AS evidence_group FROM {values_sql('metric, seq, value, g', [(*c, g) for c, g in zip(_CANDS, (0, 0, 1, 0, 0, 1))])}"),
-    "institution_match": (lambda s, d: identified(report.pages(s), dims.institutions(s)).select("institution", "category", "type"), "SELECT 'ICICI Bank Limited' AS institution, 'D-SIB' AS category, 'bank' AS type"),
+    "cand_table": (lambda s, d: from_tables(reports.cells(s, d), reports.docs(s, d), reports.pages(s, d)).select("doc_id", "metric", "page", "r", "c", "y", "resolved", "score", "value"), _TABLES + "SELECT * FROM found"),
+    "cand_text": (lambda s, d: from_lines(reports.pages(s, d), reports.docs(s, d)).select("doc_id", "page", "line_no", "metric", "value"), "WITH " + _TEXT + "SELECT * FROM tl"),
+    "cand_union": (lambda s, d: from_tables(reports.cells(s, d), reports.docs(s, d)).select("doc_id", "metric", "page", "value").unionByName(from_lines(reports.pages(s, d), reports.docs(s, d)).select("doc_id", "metric", "page", "value")).distinct(), _TABLES + ", " + _TEXT + "SELECT doc_id, metric, page, value FROM found UNION SELECT doc_id, metric, page, value FROM tl"),
+    "evidence_groups": (lambda s, d: evidence(_near(s, d), ["doc_id", "metric"], "value", ["seq"]), f"WITH n AS (SELECT doc_id, metric, seq, value * times AS value FROM {reports.VALUES_SQL} AS v JOIN {_NEAR} ON doc_id % 6 + 1 >= seq WHERE value > 0 AND num > 0), h AS (SELECT a.doc_id, a.metric, a.seq, any_value(a.value) AS value, MIN(b.seq) AS head FROM n a JOIN n b ON a.doc_id = b.doc_id AND a.metric = b.metric AND abs(a.value - b.value) <= 0.005 * greatest(a.value, b.value) GROUP BY ALL) SELECT doc_id, metric, seq, value, CAST(dense_rank() OVER (PARTITION BY doc_id, metric ORDER BY head) - 1 AS INTEGER) AS evidence_group FROM h"),
+    "institution_match": (lambda s, d: identified(reports.pages(s, d), ["doc_id"]), _INSTITUTION),
     "fuzzy_row": (lambda s, d: nearest_row(inline(s, "name", [("Kotak Mahindra Bank Limited",), ("Nowhere Rural Bank Limited",)]), inline(s, "existing", [("HDFC Bank",), ("Axis Bank",), ("Kotak Mahindra Bank",)])), f"SELECT name, CAST(existing AS VARCHAR) AS existing FROM {values_sql('name, existing', [('Kotak Mahindra Bank Limited', 'Kotak Mahindra Bank'), ('Nowhere Rural Bank Limited', None)])}"),
-    "rating_mode": (lambda s, d: first_seen_mode(inline(s, "pos, rating", _RATINGS), "rating", "pos"), f"SELECT rating AS winner FROM {values_sql('pos, rating', _RATINGS)} GROUP BY rating ORDER BY COUNT(*) DESC, MIN(pos) LIMIT 1"),
-    "applicable_metrics": (lambda s, d: dims.metrics(s).where("contains(types, 'n')").select("metric", "tier"), f"SELECT metric, tier FROM {_METRICS} WHERE contains(types, 'n')"),
-    "unmatched_labels": (lambda s, d: inline(s, "label", _LABELS).join(matched(inline(s, "label", _LABELS), dictionary(s, "b"), "label"), "label", "left_anti"), "SELECT 'Nothing known' AS label"),
+    "rating_mode": (lambda s, d: first_seen_mode(table(s, d, "orders"), "o_custkey", "o_orderpriority", "o_orderkey"), "WITH g AS (SELECT o_custkey, o_orderpriority, COUNT(*) AS n, MIN(o_orderkey) AS p FROM orders GROUP BY ALL) SELECT o_custkey, arg_max(o_orderpriority, (n, -p)) AS winner FROM g GROUP BY o_custkey"),
+    "applicable_metrics": (lambda s, d: reports.docs(s, d).join(F.broadcast(dims.metrics(s)), F.expr("contains(types, kind)")).select("doc_id", "metric", "tier"), f"SELECT doc_id, metric, tier FROM {_DOCS} JOIN {_METRICS} ON contains(types, kind)"),
+    "unmatched_labels": (lambda s, d: _labels(s, d).where(F.size(numbers.let(text.clean_label(F.col("label")), lambda x: hits(x, F.col("kind")))) == 0).select("doc_id", "page", "r", "label"), _MATCH + "SELECT doc_id, page, r, label FROM lab WHERE NOT EXISTS (SELECT 1 FROM h WHERE h.label = lab.label AND h.kind = lab.kind)"),
 }

@@ -1,7 +1,8 @@
-"""Scores for and against candidate values, the winner, evidence and confidence.
+"""Scores for and against candidate values, the winner, evidence and confidence, per document and metric.
 
-Candidates of a metric and document are few (what the pages hold), so rivals meet by a join on (doc, metric). The order of
-the winner ends in page, table and column: it never depends on how rows arrive.
+Candidates of a metric and document are few (what the pages hold). Rivals meet, and winners are ranked, in windows over
+(document, metric): one shuffle serves both, and candidates of other metrics or documents never touch one another. The order
+of the winner ends in page, table and column: it never depends on how rows arrive.
 """
 
 from __future__ import annotations
@@ -10,7 +11,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marlstone.functions import numbers
-from marlstone.plans.dims import DOCUMENTED, Profile
+from marlstone.plans import dims
+from marlstone.plans.dims import DOCUMENTED, METRICS, Profile
+from marlstone.sources import reports
 from marlstone.sources.tables import inline, values_sql
 
 #: Points of a defence.
@@ -19,7 +22,9 @@ SOURCE = {"financial_statements": 1.0, "financial_highlights": 0.9, "multi_year_
 TIERS = {"A": (3, 2, 0.35), "B": (2, 1, 0.70), "C": (1, 1, 1.00)}  # sources for full marks, least, score of one
 WEIGHTS = {"court": 0.34, "source": 0.18, "evidence": 0.18, "dna": 0.15, "formula": 0.10, "trend": 0.05}
 
-COLUMNS = "cid, value, page, section, other_sections, n_aliases, y, resolved, unit_printed, is_foreign, inferred, in_table, exact, label_score, has_header, col, next_labelled"
+BY = ["doc_id", "metric"]
+#: What a candidate has, besides its document, metric, the document's year (fy) and the metric's range (low, high).
+COLUMNS = "cid, value, page, section, other_sections, n_aliases, y, resolved, unit_printed, is_foreign, inferred, in_table, exact, label_score, has_header, table_id, col"
 
 
 def points(name: Column) -> Column:
@@ -38,53 +43,66 @@ def defence(c: DataFrame) -> DataFrame:
     return c.withColumn("n_sections", F.size(s)).withColumn("defence", F.least(F.lit(100), score).cast("int"))
 
 
-def penalty_year(fy: int) -> Column:
-    return F.when(F.col("y").isNotNull() & (F.col("y") != fy), 60).when(~F.col("resolved"), 12).otherwise(0)
+def penalty_year() -> Column:
+    return F.when(F.col("y").isNotNull() & (F.col("y") != F.col("fy")), 60).when(~F.col("resolved"), 12).otherwise(0)
 
 
-def penalty_unit(low: float, high: float) -> Column:
+def penalty_unit() -> Column:
     v = F.col("value")
-    out = ~v.between(low, high)
-    return F.when(F.col("is_foreign"), 70).otherwise(0) + F.when(F.col("inferred"), 15).otherwise(0) + F.when(out, 35).otherwise(0) + F.when(out & (v / 100).between(low, high), 35).otherwise(0)
+    within = lambda x: numbers.in_range(x, F.col("low"), F.col("high"))
+    out = ~within(v)
+    return F.when(F.col("is_foreign"), 70).otherwise(0) + F.when(F.col("inferred"), 15).otherwise(0) + F.when(out, 35).otherwise(0) + F.when(out & within(v / 100), 35).otherwise(0)
 
 
-def scale_hint(low: float, high: float) -> Column:
+def scale_hint() -> Column:
     """First factor that would bring an out-of-range value into range."""
-    return F.when(~F.col("value").between(low, high), F.get(F.filter(F.array(F.lit(0.01), F.lit(100.0), F.lit(0.001), F.lit(1000.0)), lambda f: (F.col("value") * f).between(low, high)), F.lit(0)))
+    within = lambda x: numbers.in_range(x, F.col("low"), F.col("high"))
+    return F.when(~within(F.col("value")), F.get(F.filter(F.array(F.lit(0.01), F.lit(100.0), F.lit(0.001), F.lit(1000.0)), lambda f: within(F.col("value") * f)), F.lit(0)))
 
 
-def penalty_alignment() -> Column:
-    return F.when(F.col("in_table") & (F.col("label_score") < 88), 30).otherwise(0) + F.when(~F.col("resolved") & F.col("has_header"), 20).otherwise(0) + F.when(F.col("next_labelled") & ~F.col("resolved"), 20).otherwise(0)
+def penalty_alignment(by: list[str] = BY) -> Column:
+    """A poor label, a head without a year, and a neighbouring column of the same table whose year is known."""
+    column = Window.partitionBy(*by, "table_id").orderBy("col")
+    known = lambda a, b: F.count_if(F.col("resolved")).over(column.rangeBetween(a, b))
+    beside = F.col("table_id").isNotNull() & F.col("col").isNotNull() & (known(-1, 1) > known(0, 0))
+    return F.when(F.col("in_table") & (F.col("label_score") < 88), 30).otherwise(0) + F.when(~F.col("resolved") & F.col("has_header"), 20).otherwise(0) + F.when(beside & ~F.col("resolved"), 20).otherwise(0)
 
 
-def penalty_conflict(c: DataFrame, fy: int) -> DataFrame:
-    """(cid, penalty): 22 if a candidate of the same year has another value, 12 more if the strongest such rival is better founded."""
-    year = lambda a: F.coalesce(F.col(f"{a}.y"), F.lit(fy))
-    pairs = c.alias("a").join(c.alias("b"), (F.col("a.cid") != F.col("b.cid")) & (year("a") == year("b")) & ~numbers.same_value(F.col("a.value"), F.col("b.value")))
-    strength = lambda a: F.struct(F.col(f"{a}.n_sections"), points(F.col(f"{a}.section")))
-    best = pairs.groupBy("a.cid").agg(F.max(strength("b")).alias("rival"), F.first(strength("a")).alias("own"))
-    return best.select("cid", (F.lit(22) + F.when(F.col("rival") > F.col("own"), 12).otherwise(0)).alias("conflict"))
+def penalty_conflict(by: list[str] = BY) -> Column:
+    """22 if a candidate of the same year has another value, 12 more if the strongest such rival is better founded; of defended candidates."""
+    year = F.coalesce("y", "fy")
+    strength = F.struct(F.col("n_sections").alias("n"), points(F.col("section")).alias("p"))
+    every = F.collect_list(F.struct(year.alias("y"), F.col("value").alias("value"), strength.alias("s"))).over(Window.partitionBy(*by))
+    rivals = F.filter(every, lambda o: (o["y"] == year) & ~numbers.same_value(o["value"], F.col("value")))
+    best = F.array_max(F.transform(rivals, lambda o: o["s"]))
+    return F.when(best.isNull(), 0).otherwise(F.lit(22) + F.when(best > strength, 12).otherwise(0))
 
 
-def trial(c: DataFrame, fy: int, low: float, high: float) -> DataFrame:
+def trial(c: DataFrame, by: list[str] = BY) -> DataFrame:
     d = defence(c)
-    t = d.join(penalty_conflict(d, fy), "cid", "left").select(
-        "cid", "value", "page", "section", "col", "n_sections", "defence", penalty_year(fy).alias("year_penalty"), F.coalesce("conflict", F.lit(0)).alias("conflict_penalty"), penalty_unit(low, high).alias("unit_penalty"), penalty_alignment().alias("alignment_penalty")
+    t = d.select(
+        *by, "cid", "value", "page", "section", "col", "n_sections", "defence", penalty_year().alias("year_penalty"), penalty_conflict(by).alias("conflict_penalty"), penalty_unit().alias("unit_penalty"), penalty_alignment(by).alias("alignment_penalty")
     )
     return t.withColumn("court", F.col("defence") - F.col("year_penalty") - F.col("conflict_penalty") - F.col("unit_penalty") - F.col("alignment_penalty"))
 
 
-def ranked(t: DataFrame) -> DataFrame:
-    w = Window.orderBy(F.col("court").desc(), F.col("n_sections").desc(), points(F.col("section")).desc(), "page", "col", "cid")
+def ranked(t: DataFrame, by: list[str] = BY) -> DataFrame:
+    w = Window.partitionBy(*by).orderBy(F.col("court").desc(), F.col("n_sections").desc(), points(F.col("section")).desc(), "page", "col", "cid")
     return t.withColumn("place", F.row_number().over(w))
 
 
-def trial_single(c: DataFrame, fy: int) -> DataFrame:
+def rejected(t: DataFrame, by: list[str] = BY, most: int = 8) -> DataFrame:
+    """Per document and metric the candidates after the winner, the best eight, in order."""
+    lost = ranked(t, by).where((F.col("place") > 1) & (F.col("place") <= most + 1))
+    return lost.groupBy(*by).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", "cid"))), lambda x: x["cid"].cast("string")), ",").alias("rejected"))
+
+
+def trial_single(c: DataFrame, by: list[str] = BY) -> DataFrame:
     """The single profile: quality, agreement and units in one clipped score."""
     s = 20 + (40 * F.coalesce(*(F.when(F.col("section") == k, F.lit(v)) for k, v in SOURCE.items()), F.lit(0.3))).cast("int") + 12 * F.least(F.size(sections(c)) - 1, F.lit(3))
     s = s + F.when(F.col("in_table"), 10).otherwise(0) + F.when(F.col("exact"), 6).otherwise(0) + F.when(F.col("unit_printed"), 8).otherwise(-15) + F.when(F.col("resolved"), 12).otherwise(-12)
-    s = s - F.when(F.col("y").isNotNull() & (F.col("y") != fy), 60).otherwise(0) - F.when(F.col("label_score") < 88, 20).otherwise(0)
-    return c.select("cid", F.greatest(F.lit(0), F.least(F.lit(100), s)).cast("int").alias("score"))
+    s = s - F.when(F.col("y").isNotNull() & (F.col("y") != F.col("fy")), 60).otherwise(0) - F.when(F.col("label_score") < 88, 20).otherwise(0)
+    return c.select(*by, "cid", F.greatest(F.lit(0), F.least(F.lit(100), s)).cast("int").alias("score"))
 
 
 def evidence_score(tier: Column, sources: Column, n_aliases: Column) -> Column:
@@ -110,50 +128,73 @@ def clamp_fold(steps: Column, start: Column) -> Column:
     return F.aggregate(F.transform(F.array_sort(steps), lambda s: s["delta"]), start, lambda a, d: F.least(F.lit(100.0), F.greatest(F.lit(0.0), a + d)))
 
 
-#: The poisoned pool for total assets.
-POOL = [
-    (1, 1584207.0, 120, "financial_statements", "financial_highlights|multi_year_summary", 2, 2023, True, True, False, False, True, True, 100.0, True, 1, False),
-    (2, 1411297.74, 120, "financial_statements", "", 1, 2022, True, True, False, False, True, True, 100.0, True, 2, False),
-    (3, 15842070000.0, 121, "financial_statements", "", 1, 2023, True, False, False, True, True, True, 100.0, True, 1, False),
-    (4, 204000.0, 120, "financial_statements", "", 1, 2023, True, True, False, False, True, False, 61.0, True, 1, False),
-    (5, 1600000.0, 7, "narrative", "", 1, None, False, False, False, True, False, True, 100.0, False, 0, False),
+#: Kinds of candidates, in factors of the true value: sound, last year's, in another unit, another metric's, from prose, and from a column without a year.
+KINDS = [
+    (1, 1.0, 120, "financial_statements", "financial_highlights|multi_year_summary", 2, 0, True, True, False, False, True, True, 100.0, True, "t120", 1),
+    (2, 0.85, 120, "financial_statements", "", 1, -1, True, True, False, False, True, True, 100.0, True, "t120", 2),
+    (3, 10000.0, 121, "financial_statements", "", 1, 0, True, False, False, True, True, True, 100.0, True, "t121", 1),
+    (4, 0.13, 120, "financial_statements", "", 1, 0, True, True, False, False, True, False, 61.0, True, "t120", 1),
+    (5, 1.01, 7, "narrative", "", 1, None, False, False, False, True, False, True, 100.0, False, None, 0),
+    (6, 0.5, 121, "key_ratios", "", 1, None, False, True, True, False, True, True, 95.0, True, "t121", 2),
 ]
-_POOL = values_sql(COLUMNS, POOL)
+_KINDS = values_sql(COLUMNS.replace("value", "times").replace(" y,", " years,"), KINDS)
+_RANGES = values_sql("metric, low, high", [(m[0], m[6], m[7]) for m in METRICS if m[6] is not None])
+_POOL = f"(SELECT v.doc_id, v.metric, v.fy, g.low, g.high, k.*, v.value * k.times AS value, v.fy + k.years AS y FROM {reports.VALUES_SQL} AS v JOIN {_RANGES.replace(' t(', ' g(')} USING (metric) CROSS JOIN {_KINDS.replace(' t(', ' k(')} WHERE v.doc_id % 6 + 1 >= k.cid OR k.cid = 1)"
 
 
-def pool(s):
-    return inline(s, COLUMNS, POOL)
+def pool(s, d) -> DataFrame:
+    """Candidates of all reports and metrics: the first kinds, one to six of them by report."""
+    ranges = F.broadcast(dims.metrics(s).where("low is not null").select("metric", "low", "high"))  # 52 rows at most
+    v = reports.values(s, d).select("doc_id", "metric", "fy", F.col("value").alias("true_value")).join(ranges, "metric")
+    k = inline(s, COLUMNS.replace("value", "times").replace(" y,", " years,"), KINDS)
+    out = v.join(F.broadcast(k), (F.col("doc_id") % 6 + 1 >= F.col("cid")) | (F.col("cid") == 1))  # six rows
+    return out.withColumn("value", F.col("true_value") * F.col("times")).withColumn("y", F.col("fy") + F.col("years"))
 
 
 _PTS = "CASE {0} WHEN 'financial_statements' THEN 30 WHEN 'financial_highlights' THEN 22 WHEN 'multi_year_summary' THEN 14 WHEN 'key_ratios' THEN 14 WHEN 'mdna' THEN 8 WHEN 'narrative' THEN 2 ELSE 0 END"
-_T = f"""WITH s AS (SELECT *, list_distinct(list_filter(list_concat([section], string_split(other_sections, '|')), lambda x: x <> '')) AS secs FROM {_POOL}),
+_T = f"""WITH s AS (SELECT *, list_distinct(list_filter(list_concat([section], string_split(other_sections, '|')), lambda x: x <> '')) AS secs FROM {_POOL} AS pool),
 d AS (SELECT *, CAST(len(secs) AS INTEGER) AS n_sections, {_PTS.format('section')} AS pts, CAST(least(100, 20 + list_sum(list_transform(secs, lambda x: {_PTS.format('x')})) + 18 * (len(secs) - 1) + 8 * (n_aliases - 1)
   + CASE WHEN unit_printed THEN 8 ELSE 0 END + CASE WHEN resolved THEN 12 ELSE 0 END + CASE WHEN in_table THEN 10 ELSE 0 END + CASE WHEN exact THEN 6 ELSE 0 END) AS INTEGER) AS defence FROM s),
-p AS (SELECT *, CASE WHEN y <> 2023 THEN 60 WHEN NOT resolved THEN 12 ELSE 0 END AS year_penalty,
-  CASE WHEN is_foreign THEN 70 ELSE 0 END + CASE WHEN inferred THEN 15 ELSE 0 END + CASE WHEN NOT value BETWEEN 100 AND 90000000 THEN 35 ELSE 0 END + CASE WHEN NOT value BETWEEN 100 AND 90000000 AND value / 100 BETWEEN 100 AND 90000000 THEN 35 ELSE 0 END AS unit_penalty,
-  CASE WHEN in_table AND label_score < 88 THEN 30 ELSE 0 END + CASE WHEN NOT resolved AND has_header THEN 20 ELSE 0 END + CASE WHEN next_labelled AND NOT resolved THEN 20 ELSE 0 END AS alignment_penalty FROM d),
-r AS (SELECT a.cid, max(b.n_sections * 1000 + b.pts) AS rival, any_value(a.n_sections * 1000 + a.pts) AS own FROM p a JOIN p b ON a.cid <> b.cid AND coalesce(a.y, 2023) = coalesce(b.y, 2023) AND abs(a.value - b.value) > 0.005 * greatest(abs(a.value), abs(b.value)) GROUP BY a.cid),
-t AS (SELECT p.*, COALESCE(CASE WHEN r.cid IS NULL THEN 0 ELSE 22 + CASE WHEN rival > own THEN 12 ELSE 0 END END, 0) AS conflict_penalty FROM p LEFT JOIN r USING (cid)),
-c AS (SELECT *, defence - year_penalty - conflict_penalty - unit_penalty - alignment_penalty AS court FROM t)
+n AS (SELECT DISTINCT a.doc_id, a.metric, a.cid FROM d a JOIN d b ON a.doc_id = b.doc_id AND a.metric = b.metric AND a.table_id = b.table_id AND abs(a.col - b.col) = 1 AND b.resolved AND NOT a.resolved),
+p AS (SELECT d.*, CASE WHEN y <> fy THEN 60 WHEN NOT resolved THEN 12 ELSE 0 END AS year_penalty,
+  CASE WHEN is_foreign THEN 70 ELSE 0 END + CASE WHEN inferred THEN 15 ELSE 0 END + CASE WHEN NOT value BETWEEN low AND high THEN 35 ELSE 0 END + CASE WHEN NOT value BETWEEN low AND high AND value / 100 BETWEEN low AND high THEN 35 ELSE 0 END AS unit_penalty,
+  CASE WHEN in_table AND label_score < 88 THEN 30 ELSE 0 END + CASE WHEN NOT resolved AND has_header THEN 20 ELSE 0 END + CASE WHEN n.cid IS NOT NULL THEN 20 ELSE 0 END AS alignment_penalty FROM d LEFT JOIN n USING (doc_id, metric, cid)),
+r AS (SELECT a.doc_id, a.metric, a.cid, max(b.n_sections * 1000 + b.pts) AS rival, any_value(a.n_sections * 1000 + a.pts) AS own FROM p a JOIN p b ON a.doc_id = b.doc_id AND a.metric = b.metric AND a.cid <> b.cid AND coalesce(a.y, a.fy) = coalesce(b.y, b.fy) AND abs(a.value - b.value) > 0.005 * greatest(abs(a.value), abs(b.value)) GROUP BY a.doc_id, a.metric, a.cid),
+t AS (SELECT p.*, COALESCE(CASE WHEN r.cid IS NULL THEN 0 ELSE 22 + CASE WHEN rival > own THEN 12 ELSE 0 END END, 0) AS conflict_penalty FROM p LEFT JOIN r USING (doc_id, metric, cid)),
+c AS (SELECT *, CAST(defence - year_penalty - conflict_penalty - unit_penalty - alignment_penalty AS INTEGER) AS court FROM t),
+w AS (SELECT *, CAST(row_number() OVER (PARTITION BY doc_id, metric ORDER BY court DESC, n_sections DESC, pts DESC, page, col, cid) AS INTEGER) AS place FROM c)
 """
-_EV = [("A", 3, 1), ("A", 2, 1), ("A", 1, 2), ("B", 2, 1), ("B", 1, 2), ("C", 1, 1), ("C", 0, 1)]
-_CONF = [(1, 100.0, 1.0, 1.0, 1.0, 1.0, 1.0, False), (2, 100.0, 1.0, 1.0, 1.0, 1.0, 1.0, True), (3, 60.0, 0.9, 0.7, 1.0, 0.6, 1.0, False), (4, -20.0, 0.2, 0.35, 0.5, 0.25, 0.55, False), (5, 90.0, 0.9, 0.35, 0.7, 0.625, 0.9, False)]
-_CC = "i, court, source, evidence, dna, formula, trend, derived"
+_CC = "court, source, evidence, dna, formula, trend, derived"
 _STEPS = [(1, 50.0, 1, -90.0), (1, 50.0, 2, 5.0), (2, 90.0, 1, 30.0), (2, 90.0, 2, -15.0), (3, 70.0, 1, 0.0)]
+#: Parts of the confidence, made of what the reports print.
+_PARTS = f"(SELECT doc_id, metric, CAST(confidence * 2 - 60 AS DOUBLE) AS court, CAST(r % 5 AS DOUBLE) / 4 AS source, CAST(doc_id % 3 AS DOUBLE) / 2 AS evidence, CASE WHEN r % 2 = 0 THEN CAST(1 AS DOUBLE) ELSE CAST(0.5 AS DOUBLE) END AS dna, CAST(page % 3 AS DOUBLE) / 2 AS formula, CAST(1 AS DOUBLE) AS trend, doc_id % 7 = 0 AS derived FROM {reports.VALUES_SQL} AS v)"
 _SUM = "CAST(ROUND(greatest(0, least(CASE WHEN derived THEN 90 ELSE 100 END, 100 * (0.34 * greatest(0, least(1, court / 100)) + 0.18 * source + 0.18 * evidence + 0.15 * dna + 0.10 * formula + 0.05 * trend))), 1) AS DOUBLE)"
-R = (100.0, 90000000.0)
+
+
+def _parts(s, d) -> DataFrame:
+    f = lambda x: F.col(x).cast("double")
+    return reports.values(s, d).select(
+        *BY, (F.col("confidence") * 2 - 60).alias("court"), ((F.col("r") % 5).cast("double") / 4).alias("source"), ((F.col("doc_id") % 3).cast("double") / 2).alias("evidence"), F.when(F.col("r") % 2 == 0, 1.0).otherwise(0.5).alias("dna"),
+        ((F.col("page") % 3).cast("double") / 2).alias("formula"), F.lit(1.0).alias("trend"), (F.col("doc_id") % 7 == 0).alias("derived"),
+    )
+
+
+def _tiers(s, d) -> DataFrame:
+    tiers = F.broadcast(dims.metrics(s).select("metric", "tier"))
+    return reports.values(s, d).join(tiers, "metric").select(*BY, "tier", (F.col("doc_id") % 4).cast("int").alias("sources"), (F.col("r") % 3).cast("int").alias("n"))
+
 
 QUERIES = {
-    "defence": (lambda s, d: defence(pool(s)).select("cid", "n_sections", "defence"), _T + "SELECT cid, n_sections, defence FROM c"),
-    "penalty_year": (lambda s, d: trial(pool(s), 2023, *R).select("cid", "year_penalty"), _T + "SELECT cid, year_penalty FROM c"),
-    "penalty_conflict": (lambda s, d: trial(pool(s), 2023, *R).select("cid", "conflict_penalty"), _T + "SELECT cid, conflict_penalty FROM c"),
-    "penalty_unit": (lambda s, d: trial(pool(s), 2023, *R).select("cid", "unit_penalty"), _T + "SELECT cid, unit_penalty FROM c"),
-    "penalty_alignment": (lambda s, d: trial(pool(s), 2023, *R).select("cid", "alignment_penalty"), _T + "SELECT cid, alignment_penalty FROM c"),
-    "scale_hint": (lambda s, d: pool(s).select("cid", scale_hint(*R).alias("hint")), f"SELECT cid, CAST(CASE WHEN NOT value BETWEEN 100 AND 90000000 THEN CASE WHEN value * 0.01 BETWEEN 100 AND 90000000 THEN 0.01 WHEN value * 0.001 BETWEEN 100 AND 90000000 THEN 0.001 END END AS DOUBLE) AS hint FROM {_POOL}"),
-    "trial_winner": (lambda s, d: ranked(trial(pool(s), 2023, *R)).select("cid", "court", "place"), _T + f"SELECT cid, court, CAST(row_number() OVER (ORDER BY court DESC, n_sections DESC, pts DESC, page, col, cid) AS INTEGER) AS place FROM c"),
-    "rejected_list": (lambda s, d: ranked(trial(pool(s), 2023, *R)).where("place > 1 and place <= 9").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", "cid"))), lambda x: x["cid"].cast("string")), ",").alias("rejected")), _T + "SELECT string_agg(CAST(cid AS VARCHAR), ',' ORDER BY court DESC, n_sections DESC, pts DESC, page, col, cid) AS rejected FROM (SELECT *, row_number() OVER (ORDER BY court DESC, n_sections DESC, pts DESC, page, col, cid) AS place FROM c) WHERE place > 1 AND place <= 9"),
-    "trial_single": (lambda s, d: trial_single(pool(s), 2023), f"SELECT cid, CAST(greatest(0, least(100, 20 + CASE section WHEN 'narrative' THEN 8 ELSE 40 END + 12 * least(len(list_distinct(list_filter(list_concat([section], string_split(other_sections, '|')), lambda x: x <> ''))) - 1, 3) + CASE WHEN in_table THEN 10 ELSE 0 END + CASE WHEN exact THEN 6 ELSE 0 END + CASE WHEN unit_printed THEN 8 ELSE -15 END + CASE WHEN resolved THEN 12 ELSE -12 END - CASE WHEN y <> 2023 THEN 60 ELSE 0 END - CASE WHEN label_score < 88 THEN 20 ELSE 0 END)) AS INTEGER) AS score FROM {_POOL}"),
-    "evidence_tier": (lambda s, d: inline(s, "tier, sources, n", _EV).select("tier", "sources", "n", evidence_score(F.col("tier"), F.col("sources"), F.col("n")).alias("score")), f"SELECT tier, sources, n, CAST(ROUND(least(1.0, CASE tier WHEN 'A' THEN CASE WHEN sources >= 3 THEN 1 WHEN sources >= 2 THEN 0.35 ELSE 0.175 END WHEN 'B' THEN CASE WHEN sources >= 2 THEN 1 WHEN sources >= 1 THEN 0.7 ELSE 0.35 END ELSE CASE WHEN sources >= 1 THEN 1 ELSE 0.5 END END + CASE WHEN n > 1 THEN 0.05 ELSE 0 END), 4) AS DOUBLE) AS score FROM {values_sql('tier, sources, n', _EV)}"),
-    "confidence_band": (lambda s, d: inline(s, _CC, _CONF).select("i", confidence(*(F.col(c) for c in _CC.split(", ")[1:])).alias("confidence")).withColumn("decision", decision(F.col("confidence"))), f"SELECT i, confidence, CASE WHEN confidence >= 95 THEN 'auto_approve' WHEN confidence >= 80 THEN 'high' WHEN confidence >= 65 THEN 'manual_review' ELSE 'reject' END AS decision FROM (SELECT i, {_SUM} AS confidence FROM {values_sql(_CC, _CONF)})"),
+    "defence": (lambda s, d: defence(pool(s, d)).select(*BY, "cid", "n_sections", "defence"), _T + "SELECT doc_id, metric, cid, n_sections, defence FROM c"),
+    "penalty_year": (lambda s, d: trial(pool(s, d)).select(*BY, "cid", "year_penalty"), _T + "SELECT doc_id, metric, cid, year_penalty FROM c"),
+    "penalty_conflict": (lambda s, d: trial(pool(s, d)).select(*BY, "cid", "conflict_penalty"), _T + "SELECT doc_id, metric, cid, conflict_penalty FROM c"),
+    "penalty_unit": (lambda s, d: trial(pool(s, d)).select(*BY, "cid", "unit_penalty"), _T + "SELECT doc_id, metric, cid, unit_penalty FROM c"),
+    "penalty_alignment": (lambda s, d: trial(pool(s, d)).select(*BY, "cid", "alignment_penalty"), _T + "SELECT doc_id, metric, cid, alignment_penalty FROM c"),
+    "scale_hint": (lambda s, d: pool(s, d).select(*BY, "cid", scale_hint().alias("hint")), _T + "SELECT doc_id, metric, cid, CAST(CASE WHEN NOT value BETWEEN low AND high THEN CASE WHEN value * 0.01 BETWEEN low AND high THEN 0.01 WHEN value * 100 BETWEEN low AND high THEN 100 WHEN value * 0.001 BETWEEN low AND high THEN 0.001 WHEN value * 1000 BETWEEN low AND high THEN 1000 END END AS DOUBLE) AS hint FROM c"),
+    "trial_winner": (lambda s, d: ranked(trial(pool(s, d))).select(*BY, "cid", "court", "place"), _T + "SELECT doc_id, metric, cid, court, place FROM w"),
+    "rejected_list": (lambda s, d: rejected(trial(pool(s, d))), _T + "SELECT doc_id, metric, string_agg(CAST(cid AS VARCHAR), ',' ORDER BY place) AS rejected FROM w WHERE place > 1 AND place <= 9 GROUP BY doc_id, metric"),
+    "trial_single": (lambda s, d: trial_single(pool(s, d)), f"SELECT doc_id, metric, cid, CAST(greatest(0, least(100, 20 + CASE section WHEN 'narrative' THEN 8 WHEN 'key_ratios' THEN 32 ELSE 40 END + 12 * least(len(list_distinct(list_filter(list_concat([section], string_split(other_sections, '|')), lambda x: x <> ''))) - 1, 3) + CASE WHEN in_table THEN 10 ELSE 0 END + CASE WHEN exact THEN 6 ELSE 0 END + CASE WHEN unit_printed THEN 8 ELSE -15 END + CASE WHEN resolved THEN 12 ELSE -12 END - CASE WHEN y <> fy THEN 60 ELSE 0 END - CASE WHEN label_score < 88 THEN 20 ELSE 0 END)) AS INTEGER) AS score FROM {_POOL} AS pool"),
+    "evidence_tier": (lambda s, d: _tiers(s, d).select(*BY, evidence_score(F.col("tier"), F.col("sources"), F.col("n")).alias("score")), f"SELECT doc_id, metric, CAST(ROUND(least(1.0, CASE tier WHEN 'A' THEN CASE WHEN sources >= 3 THEN 1 WHEN sources >= 2 THEN 0.35 ELSE 0.175 END WHEN 'B' THEN CASE WHEN sources >= 2 THEN 1 WHEN sources >= 1 THEN 0.7 ELSE 0.35 END ELSE CASE WHEN sources >= 1 THEN 1 ELSE 0.5 END END + CASE WHEN n > 1 THEN 0.05 ELSE 0 END), 4) AS DOUBLE) AS score FROM (SELECT doc_id, metric, tier, doc_id % 4 AS sources, r % 3 AS n FROM {reports.VALUES_SQL} AS v JOIN {values_sql('metric, tier', [(m[0], m[5]) for m in METRICS]).replace(' t(', ' m(')} USING (metric))"),
+    "confidence_band": (lambda s, d: _parts(s, d).select(*BY, confidence(*(F.col(c) for c in _CC.split(", "))).alias("confidence")).withColumn("decision", decision(F.col("confidence"))), f"SELECT doc_id, metric, confidence, CASE WHEN confidence >= 95 THEN 'auto_approve' WHEN confidence >= 80 THEN 'high' WHEN confidence >= 65 THEN 'manual_review' ELSE 'reject' END AS decision FROM (SELECT doc_id, metric, {_SUM} AS confidence FROM {_PARTS} AS parts)"),
     "clamp_fold": (lambda s, d: inline(s, "i, start_score, step, delta", _STEPS).groupBy("i", "start_score").agg(F.collect_list(F.struct("step", "delta")).alias("steps")).select("i", clamp_fold(F.col("steps"), F.col("start_score")).alias("score")), f"SELECT i, score FROM {values_sql('i, score', [(1, 5.0), (2, 85.0), (3, 70.0)])}"),
 }

@@ -202,5 +202,17 @@ def alias_rows() -> list[tuple]:
     return [(m, i, f"(?i){p}") for m, patterns in ALIASES.items() for i, p in enumerate(patterns)]
 
 
+#: Registered numbers, and exchange symbols, of institutions.
+CINS = {"State Bank of India (SBI)": "L65190MH1955PLC000018", "HDFC Bank Limited": "L65920MH1994PLC080618", "ICICI Bank Limited": "L65190GJ1994PLC021012", "Axis Bank Limited": "L65110GJ1993PLC020769", "Kotak Mahindra Bank Limited": "L65110MH1985PLC038137"}
+TICKERS = {
+    "State Bank of India (SBI)": "SBIN", "HDFC Bank Limited": "HDFCBANK", "ICICI Bank Limited": "ICICIBANK", "Axis Bank Limited": "AXISBANK", "Kotak Mahindra Bank Limited": "KOTAKBANK", "IndusInd Bank Limited": "INDUSINDBK", "Yes Bank Limited": "YESBANK",
+    "IDFC First Bank Limited": "IDFCFIRSTB", "Federal Bank Limited": "FEDERALBNK", "Bank of Baroda": "BANKBARODA", "Punjab National Bank": "PNB", "Canara Bank": "CANBK", "Union Bank of India": "UNIONBANK", "Bank of India": "BANKINDIA", "Indian Bank": "INDIANB",
+    "Central Bank of India": "CENTRALBK", "AU Small Finance Bank Limited": "AUBANK", "Equitas Small Finance Bank Limited": "EQUITASBNK", "Ujjivan Small Finance Bank Limited": "UJJIVANSFB", "Bajaj Finance Limited": "BAJFINANCE", "Shriram Finance Limited": "SHRIRAMFIN",
+    "Cholamandalam Investment and Finance Company Limited": "CHOLAFIN", "Muthoot Finance Limited": "MUTHOOTFIN", "L&T Finance Holdings Limited": "LTF", "Mahindra & Mahindra Financial Services Limited": "M&MFIN", "LIC Housing Finance Limited": "LICHSGFIN",
+    "PNB Housing Finance Limited": "PNBHOUSING", "Can Fin Homes Limited": "CANFINHOME", "REC Limited": "RECLTD", "Power Finance Corporation Limited": "PFC", "IRFC": "IRFC",
+}
+
+
 def institutions(spark: SparkSession) -> DataFrame:
-    return inline(spark, "institution, category, type, short_names", INSTITUTIONS)
+    """(institution, category, type, short_names, cin, ticker): 36 rows."""
+    return inline(spark, "institution, category, type, short_names, cin, ticker", [(*r, CINS.get(r[0], ""), TICKERS.get(r[0], "")) for r in INSTITUTIONS])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .tables import inline
+from marlstone.sources.tables import inline
 
 CAPTION = "(₹ in crore)"
 #: Page, section, head of the table, and its rows (label, this year, last year).
@@ -36,9 +36,13 @@ def cell_rows() -> list[tuple]:
 
 
 def cells(spark: SparkSession) -> DataFrame:
-    """(page, section, table_id, caption, r, c, cell)."""
-    return inline(spark, "page, section, table_id, caption, r, c, cell", cell_rows())
+    """(doc_id, page, section, table_id, caption, r, c, cell)."""
+    return inline(spark, "doc_id, page, section, table_id, caption, r, c, cell", [(1, *r) for r in cell_rows()])
+
+
+def docs(spark: SparkSession) -> DataFrame:
+    return inline(spark, "doc_id, kind, fy", [(1, "b", 2023)])
 
 
 def pages(spark: SparkSession) -> DataFrame:
-    return inline(spark, "page, body", PAGES)
+    return inline(spark, "doc_id, page, body", [(1, *r) for r in PAGES])

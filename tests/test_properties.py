@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import random
 
+import golden
 import pytest
 from pyspark.sql import functions as F
 
 from marlstone.functions import numbers
-from marlstone.operators import book, candidates, checks, output, trial
-from marlstone.plans import dims
-from marlstone.sources import report, tables
+from marlstone.operators import book, candidates, checks, output, trial, votes
+from marlstone.plans import dims, reporting
+from marlstone.sources import tables
 from marlstone.streaming import book as live
 
 D = "/root/testdata/sf0.001"
@@ -33,11 +34,34 @@ def test_indian_grouping_round_trip(spark):
     assert got == []
 
 
+POOL = "doc_id, metric, fy, low, high, " + trial.COLUMNS
+#: A pool for total assets with a wrong year, a wrong unit, another metric's number and prose in it.
+ROWS = [
+    (1, "total_assets", 2023, 100.0, 9e7, 1, 1584207.0, 120, "financial_statements", "financial_highlights|multi_year_summary", 2, 2023, True, True, False, False, True, True, 100.0, True, "t1", 1),
+    (1, "total_assets", 2023, 100.0, 9e7, 2, 1411297.74, 120, "financial_statements", "", 1, 2022, True, True, False, False, True, True, 100.0, True, "t1", 2),
+    (1, "total_assets", 2023, 100.0, 9e7, 3, 15842070000.0, 121, "financial_statements", "", 1, 2023, True, False, False, True, True, True, 100.0, True, "t2", 1),
+    (1, "total_assets", 2023, 100.0, 9e7, 4, 204000.0, 120, "financial_statements", "", 1, 2023, True, True, False, False, True, False, 61.0, True, "t1", 1),
+    (1, "total_assets", 2023, 100.0, 9e7, 5, 1600000.0, 7, "narrative", "", 1, None, False, False, False, True, False, True, 100.0, False, None, 0),
+]
+
+
+def courts(spark, rows):
+    return {(r.doc_id, r.metric, r.cid): (r.court, r.place) for r in trial.ranked(trial.trial(tables.inline(spark, POOL, rows))).collect()}
+
+
 def test_trial_is_permutation_invariant(spark):
-    order = lambda rows: [r.cid for r in trial.ranked(trial.trial(tables.inline(spark, trial.COLUMNS, rows), 2023, 100.0, 9e7)).orderBy("place").collect()]
-    first = order(trial.POOL)
-    assert first[0] == 1
-    assert order(trial.POOL[::-1]) == first
+    first = courts(spark, ROWS)
+    assert first[1, "total_assets", 1][1] == 1
+    assert courts(spark, ROWS[::-1]) == first
+
+
+def test_metrics_and_documents_do_not_touch_each_other(spark):
+    """A second metric of the document, and a second document, change nothing."""
+    alone = courts(spark, ROWS)
+    other = [(1, "net_worth", 2023, 1.0, 5e6, *r[5:6], r[6] * 0.13, *r[7:]) for r in ROWS] + [(2, *r[1:5], r[5], r[6] * 3, *r[7:]) for r in ROWS]
+    both = courts(spark, ROWS + other)
+    assert {k: v for k, v in both.items() if k[:2] == (1, "total_assets")} == alone
+    assert {k[:2] for k, v in both.items() if v[1] == 1} == {(1, "total_assets"), (1, "net_worth"), (2, "total_assets")}
 
 
 def test_dimensions(spark):
@@ -48,10 +72,10 @@ def test_dimensions(spark):
 
 def test_report_winners(spark):
     """The printed values of the golden report come out of its tables."""
-    found = {(r.metric, round(r.value, 2)) for r in candidates.from_tables(spark).where("y = 2023").collect()}
+    found = {(r.metric, round(r.value, 2)) for r in candidates.from_tables(golden.cells(spark), golden.docs(spark), golden.pages(spark)).where("y = 2023").collect()}
     for metric, value in [("total_assets", 1584206.65), ("total_deposits", 1180840.7), ("nii", 62129.0), ("pat", 31896.5), ("gnpa_ratio", 2.81), ("crar", 18.34)]:
         assert (metric, value) in found
-    assert report.cells(spark).where("page = 6").count() == 18
+    assert golden.cells(spark).where("page = 6").count() == 18
 
 
 @pytest.mark.parametrize(("profile", "n"), [(dims.DOCUMENTED, 0), (dims.SHIPPED, 1)])
@@ -61,8 +85,8 @@ def test_derivation_floor_is_a_parameter(spark, profile, n):
 
 
 def test_write_floor(spark):
-    v = tables.inline(spark, "metric, value, confidence", [("nii", 1.0, 55.0)])
-    by = lambda p: output.cells(v, "b", p).where("metric = 'nii'").first().sentinel
+    v = tables.inline(spark, "doc_id, metric, value, confidence", [(1, "nii", 1.0, 55.0)])
+    by = lambda p: output.cells(v, golden.docs(spark), "doc_id", p).where("metric = 'nii'").first().sentinel
     assert by(dims.DOCUMENTED) == "ND"
     assert by(dims.SHIPPED) is None
 
@@ -109,3 +133,69 @@ def test_sheets_by_year(spark, tmp_path):
     v = tables.inline(spark, "inst, fy, metric, value", [("A", "FY22-23", "nii", 1.0), ("A", "FY21-22", "nii", 2.0)])
     output.write_sheets(v, f"{tmp_path}/out")
     assert spark.read.parquet(f"{tmp_path}/out").where("fy = 'FY22-23'").count() == 1
+
+
+def two_reports(spark):
+    """The golden report twice: once as it is, once under another id with all amounts of its tables ten times as large."""
+    cells, pages = golden.cells(spark), golden.pages(spark)
+    big = cells.withColumn("doc_id", F.lit(2)).withColumn("caption", F.when(F.col("caption") != "", "(₹ in billion)").otherwise(""))
+    return pages.union(pages.withColumn("doc_id", F.lit(2))), cells.unionByName(big), golden.docs(spark).union(golden.docs(spark).withColumn("doc_id", F.lit(2)))
+
+
+def test_each_document_has_its_own_winners(spark):
+    pages, cells, docs = two_reports(spark)
+    win = {(r.doc_id, r.metric): r.value for r in reporting.winners(reporting.pool(pages, cells, docs)).collect()}
+    for metric, value in [("total_assets", 1584206.65), ("total_deposits", 1180840.7), ("nii", 62129.0), ("pat", 31896.5)]:
+        assert win[1, metric] == pytest.approx(value)
+        assert win[2, metric] == pytest.approx(value * 100) or win[2, metric] <= 9e7
+    assert win[2, "nii"] == pytest.approx(6212900.0) or win[2, "nii"] == pytest.approx(62129.0)
+    assert win[1, "gnpa_ratio"] == win[2, "gnpa_ratio"] == pytest.approx(2.81)
+
+
+def test_golden_documents(spark):
+    (r,) = reporting.documents(golden.pages(spark)).collect()
+    assert (r.institution, r.kind, r.fy, r.identified) == ("ICICI Bank Limited", "b", 2023, 100.0)
+
+
+def test_institutions_by_number_name_and_slip(spark):
+    rows = [(1, 1, "a report\nCIN: L65920MH1994PLC080618"), (2, 1, "Axis Bank Limited\nAnnual Report"), (3, 1, "Cholamandalam Investment and Finanse Company"), (4, 1, "Lakeside Finance Limited\n2023"), (5, 1, "x\nabc"), (6, 1, "the notes"), (6, 2, "To the members of Canara Bank")]
+    got = {r.doc_id: (r.institution, r.type, r.confidence) for r in candidates.identified(tables.inline(spark, "doc_id, page, body", rows), ["doc_id"]).collect()}
+    assert got[1] == ("HDFC Bank Limited", "bank", 100.0)
+    assert got[2][0] == "Axis Bank Limited"
+    assert got[3][0] == "Cholamandalam Investment and Finance Company Limited" and got[3][2] < 75
+    assert got[4] == ("Lakeside Finance Limited", "nbfc", 0.0)
+    assert got[5][0] == "unknown"
+    assert got[6][0] == "Canara Bank"
+
+
+def test_bare_totals_and_foreign_tables(spark):
+    rows = [("", 0, 0, "Particulars"), ("", 0, 1, "March 31, 2023"), ("", 1, 0, "Grand Total"), ("", 1, 1, "5,000"), ("", 2, 0, "Total Assets"), ("", 2, 1, "9,000"), ("", 3, 0, "Net Profit"), ("", 3, 1, "70")]
+    cells = lambda caption: tables.inline(spark, "doc_id, page, section, table_id, caption, r, c, cell", [(1, 2, "financial_statements", "t", caption, *x[1:]) for x in rows])
+    got = {(r.metric, r.value, r.is_foreign) for r in candidates.from_tables(cells("(₹ in crore)"), golden.docs(spark)).collect()}
+    assert got == {("total_assets", 9000.0, False), ("pat", 70.0, False)}
+    assert all(r.is_foreign for r in candidates.from_tables(cells("(USD million)"), golden.docs(spark)).collect())
+    assert candidates.from_tables(cells("(USD million)"), golden.docs(spark), drop_foreign=True).count() == 0
+
+
+def test_scale_by_caption_rows_and_page(spark):
+    row = lambda t, caption, head: [(1, t, "x", f"t{t}", caption, 0, 0, head), (1, t, "x", f"t{t}", caption, 1, 0, "Deposits")]
+    cells = tables.inline(spark, "doc_id, page, section, table_id, caption, r, c, cell", [*row(1, "(₹ in lakh)", "₹ in million"), *row(2, "", "₹ in million"), *row(3, "", "x"), *row(4, "", "USD"), *row(5, "", "y")])
+    pages = tables.inline(spark, "doc_id, page, body", [(1, p, "amounts (₹ in thousand)" if p < 5 else "z") for p in range(1, 6)])
+    got = {r.page: (r.scale, r.foreign) for r in candidates.table_scales(cells, pages, ["doc_id"]).collect()}
+    assert got == {1: ("lakh", False), 2: ("million", False), 3: ("thousand", False), 4: (None, True), 5: (None, False)}
+
+
+def test_serial_numbers_run_on(spark):
+    known = tables.inline(spark, "sr_no, institution", [(1, "HDFC"), (4, "Axis")])
+    rows = tables.inline(spark, "institution", [("Zeta",), ("Alpha",), ("HDFC",), *((f"N{i:03d}",) for i in range(50))])
+    got = {r.institution: r.sr_no for r in output.numbered(rows, known).collect()}
+    fresh = sorted(set(got) - {"HDFC", "Axis"})
+    assert [got[x] for x in fresh] == list(range(5, 57)) and got["Axis"] == 4
+
+
+def test_entity_names_leave_out_regulators(spark):
+    rows = [(1, 1, "To the Members of Lakeside Bank Limited\nBalance Sheet of Reserve Bank of India"), (1, 2, "we have audited the accounts of LAKESIDE BANK LTD"), (2, 1, "no hint at all")]
+    got = votes.name_votes(votes.entity_names(tables.inline(spark, "doc_id, page, body", rows), ["doc_id"]), ["doc_id"]).collect()
+    assert [(r.doc_id, r.name, r.confidence) for r in got] == [(1, "Lakeside Bank Limited", 1.0)]
+    names = tables.inline(spark, "p", [("/a/b/Bank_of_India_FY2021-22.pdf",), ("LAKESIDE-FINANCE 2022.pdf",)])
+    assert [r[0] for r in names.select(votes.file_name_guess(F.col("p"))).collect()] == ["Bank of India", "Lakeside Finance"]
