@@ -64,7 +64,7 @@ def ascii_lower(c: Column) -> Column:
     return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def pieces(batches, max_bytes: int = 2 << 20, column: str = "text"):
+def pieces(batches, max_bytes: int = 1 << 20, column: str = "text"):
     """Cuts Arrow batches so that the texts of each piece come to about max_bytes; a longer text stands alone."""
     for batch in batches:
         if not batch.num_rows:
