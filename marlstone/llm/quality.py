@@ -198,7 +198,7 @@ def fit(x: np.ndarray, size: np.ndarray, counts: np.ndarray, labels: np.ndarray,
 
 
 def _marginals(model: dict, x: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    scores = np.stack((np.zeros(len(x)), (x - model["mean"]) / model["sd"] @ model["w"]), 1)
+    scores = np.stack((np.zeros(len(x)), np.einsum("ij,j->i", x - model["mean"], model["w"] / model["sd"])), 1)
     return forward_backward(scores, model["moves"], counts)[0]
 
 
