@@ -2,16 +2,16 @@
 
 P(word | history) = P(class | history) * P(group | class, history) * P(word | class, group). A word's class and its group
 within the class are digits of its 64-bit hash; the end of a text is a word of its own. The first two factors are
-maximum-entropy models over hashed features: a bias, the previous word (n-gram), the word before it (skip) and both
-together for the class; the class itself, and the class with either of the two words, for the group. Both are trained by
+maximum-entropy models over hashed features: a bias, the previous word (n-gram) and the word before it (skip) for the
+class; the class itself, and the class with either of the two words, for the group. Both are trained by
 gradient updates: in every round, tasks send the gradients of the rows of weights that their share of the training texts
 touches, summed by blocks of rows, and every training text is used in one round. The rows of the hashed tables double
 with the training tokens, from 2 ** LEAST_BITS to 2 ** MOST_BITS; that bound is what a task holds (2 tables of 2 ** MOST_BITS
-rows of 64 floats: 64 MB). The last factor tells apart the words that share a class and group, by their relative
+rows of CLASSES floats: 32 MB). The last factor tells apart the words that share a class and group, by their relative
 frequency in all training texts, with a Good-Turing share for an unseen word, which is one outcome of its cell.
 
-Words are met as 64-bit hashes. Their counts are summed by a distributed aggregate and joined back to the pieces of
-documents that hold them: no vocabulary is ever held in one place. Texts are scored in numpy batches, of which each looks
+Words are met as 64-bit hashes. The words of all pieces of documents are sorted by hash; their counts are summed on the
+way and go back to the pieces that hold them: no vocabulary is ever held in one place. Texts are scored in numpy batches, of which each looks
 up only the weight rows of its own features.
 
 Rows: null or empty texts have the end token alone; a null id counts as empty text in the remainder; repeated rows are
@@ -28,7 +28,8 @@ from pyspark.sql import functions as F
 
 from .common import Words, mix64, pieces, remainder, written
 
-CLASSES = 64  #: and as many groups in a class; by the 6 + 6 first bits of the hash
+DIGIT = 5  #: bits of the hash that make the class, and as many after them the group
+CLASSES = 1 << DIGIT  #: and as many groups in a class
 END = np.uint64(0x51A3C96D0E47B82F)  #: the hash of the end token
 START = np.uint64(0x0D6B3F8E2C914A75)  #: what stands before the first word
 LEAST_BITS, MOST_BITS = 11, 17
@@ -85,22 +86,64 @@ def _rows_of(batches):
             yield batch.slice(i, 1).to_pylist()[0]
 
 
-def _words(tokens: DataFrame) -> DataFrame:
-    """(hash, piece, at, n): every distinct word of every piece, its number there and its count in the piece's training texts."""
+ANSWERS = "piece long, ats binary, totals binary, cell int, n long, v long, ones long"
+TOGETHER = 1 << 20  #: words whose counts are given out together
 
-    def run(batches):
+
+def _answers(tokens: DataFrame) -> DataFrame:
+    """For the pieces: numbers of words (ats) with their counts in all training texts (totals). With piece null, parts of what each cell has: tokens, distinct words, words seen once. A written table.
+
+    All pieces' words meet in the order of their hashes; what a task holds is TOGETHER of them, or one word's pieces."""
+
+    def asked(batches):
         for r in _rows_of(batches):
             hashes = np.frombuffer(r["hashes"], np.int64)
             train = np.repeat(_unpack(r["train"], bool), _unpack(r["counts"], np.int32))
             n = np.bincount(_unpack(r["tokens"], np.int32)[train], minlength=len(hashes)).astype(np.int32)
             yield pa.RecordBatch.from_arrays([pa.array(hashes), pa.array(np.full(len(hashes), r["piece"])), pa.array(np.arange(len(hashes), dtype=np.int32)), pa.array(n)], names=["hash", "piece", "at", "n"])
 
-    return tokens.select("piece", "train", "counts", "tokens", "hashes").mapInArrow(run, "hash long, piece long, at int, n int")
+    def answered(batches):
+        schema = pa.schema([("piece", pa.int64()), ("ats", pa.binary()), ("totals", pa.binary()), *((c, pa.int32() if c == "cell" else pa.int64()) for c in ("cell", "n", "v", "ones"))])
+        each = np.zeros((3, CLASSES * CLASSES), np.int64)
+
+        def given(rows):
+            hashes, piece, at, n = rows
+            starts = np.flatnonzero(np.concatenate(([True], hashes[1:] != hashes[:-1])))
+            sums = np.add.reduceat(n.astype(np.int64), starts)
+            cell = cells(hashes[starts].view(np.uint64))
+            for k, x in enumerate((sums, sums > 0, sums == 1)):
+                each[k] += np.bincount(cell, weights=x, minlength=each.shape[1]).astype(np.int64)
+            total = np.repeat(sums, np.diff(np.append(starts, len(hashes))))
+            order = np.argsort(piece, kind="stable")
+            piece, at, total = piece[order], at[order], total[order]
+            cuts = np.flatnonzero(np.concatenate(([True], piece[1:] != piece[:-1], [True]))).tolist()
+            parts = list(zip(cuts, cuts[1:]))
+            nulls = pa.nulls(len(parts), pa.int64())
+            return pa.RecordBatch.from_arrays([pa.array(piece[cuts[:-1]]), pa.array([_pack(at[a:b]) for a, b in parts], pa.binary()), pa.array([_pack(total[a:b]) for a, b in parts], pa.binary()), nulls.cast(pa.int32()), nulls, nulls, nulls], schema=schema)
+
+        waiting, size = [], 0
+        for batch in batches:
+            waiting.append([c.to_numpy() for c in batch.columns])
+            size += batch.num_rows
+            if size >= TOGETHER:
+                rows = [np.concatenate(x) for x in zip(*waiting)]
+                last = int(np.searchsorted(rows[0], rows[0][-1]))  # the last word may go on
+                if last:
+                    yield given([x[:last] for x in rows])
+                waiting, size = [[x[last:] for x in rows]], size - last
+        if size:
+            yield given([np.concatenate(x) for x in zip(*waiting)])
+        some = np.flatnonzero(each[1])
+        nulls = pa.nulls(len(some), pa.binary())
+        yield pa.RecordBatch.from_arrays([pa.nulls(len(some), pa.int64()), nulls, nulls, pa.array(some.astype(np.int32)), *(pa.array(x[some]) for x in each)], schema=schema)
+
+    words = tokens.select("piece", "train", "counts", "tokens", "hashes").mapInArrow(asked, "hash long, piece long, at int, n int")
+    return written(words.repartition("hash").sortWithinPartitions("hash").mapInArrow(answered, ANSWERS), "answers")
 
 
 def cells(hashes: np.ndarray) -> np.ndarray:
     """Class * CLASSES + group."""
-    return (hashes >> np.uint64(52)).astype(np.int64)
+    return (hashes >> np.uint64(64 - 2 * DIGIT)).astype(np.int64)
 
 
 def sequence(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -123,9 +166,9 @@ def _row(kind: int, x: np.ndarray, least: int, rows: int) -> np.ndarray:
 
 
 def class_rows(one: np.ndarray, two: np.ndarray, rows: int) -> list[np.ndarray]:
-    """Weight rows of the class features: bias, n-gram, skip, both."""
+    """Weight rows of the class features: bias, n-gram, skip."""
     with np.errstate(over="ignore"):
-        return [np.zeros(len(one), np.int64), _row(1, one, 1, rows), _row(2, two, 1, rows), _row(3, one * np.uint64(3) + two, 1, rows)]
+        return [np.zeros(len(one), np.int64), _row(1, one, 1, rows), _row(2, two, 1, rows)]
 
 
 def group_rows(kinds: np.ndarray, one: np.ndarray, two: np.ndarray, rows: int) -> list[np.ndarray]:
@@ -135,18 +178,24 @@ def group_rows(kinds: np.ndarray, one: np.ndarray, two: np.ndarray, rows: int) -
         return [kinds, _row(4, one + own, CLASSES, rows), _row(5, two + own, CLASSES, rows)]
 
 
-def softmax(weights: np.ndarray, features: list[np.ndarray], target: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(log probability of each target, probabilities of all outcomes)."""
-    z = weights[features[0]]
-    for f in features[1:]:
-        z += weights[f]
-    z -= z.max(1, keepdims=True)
-    at = np.arange(len(target))
-    own = z[at, target]
-    p = np.exp(z, out=z)
-    total = p.sum(1, keepdims=True)
-    p /= total
-    return own - np.log(total[:, 0]), p
+def softmax(weights: np.ndarray, features: list[np.ndarray], target: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(log probability of each target, exponentials of all outcomes, their sums). Weights are steps of bounded number and size: no exponential overflows."""
+    z = weights[features[-1]]
+    for f in features[-2::-1]:
+        z += weights[f] if f.any() else weights[0]
+    own = z[np.arange(len(target)), target]
+    e = np.exp(z, out=z)
+    total = e.sum(1)  # no matrix product: its threads would spin beside one another
+    return own - np.log(total), e, total
+
+
+def add_rows(table: np.ndarray, rows: np.ndarray, values: np.ndarray) -> None:
+    """table[rows] += values, repeated rows included."""
+    if len(rows):
+        order = np.argsort(rows, kind="stable")
+        rows = rows[order]
+        starts = np.flatnonzero(np.concatenate(([True], rows[1:] != rows[:-1])))
+        table[rows[starts]] += np.add.reduceat(values[order], starts, axis=0)
 
 
 def _batches(seq, one, two, rows):
@@ -167,21 +216,20 @@ def log_probability(weights: np.ndarray, seq: np.ndarray, one: np.ndarray, two:
     return out
 
 
-def gradient(weights: np.ndarray, seq: np.ndarray, one: np.ndarray, two: np.ndarray, sums: np.ndarray, n: np.ndarray) -> None:
-    """Adds to sums (2 levels x rows x 2 x CLASSES) each weight row's observed minus expected outcomes, and the expected ones; to n the tokens of each row."""
+def gradient(weights: np.ndarray, seq: np.ndarray, one: np.ndarray, two: np.ndarray, more: np.ndarray, seen: np.ndarray) -> None:
+    """Adds to seen (2 levels x rows x CLASSES) the observed outcomes of each weight row, and to more the observed minus the expected ones."""
     for _, levels in _batches(seq, one, two, weights.shape[1]):
         for level, features, target in levels:
-            _, p = softmax(weights[level], features, target)
-            both = np.empty((len(target), 2 * CLASSES), np.float32)
-            np.negative(p, out=both[:, :CLASSES])
-            both[np.arange(len(target)), target] += 1
-            both[:, CLASSES:] = p
+            _, e, total = softmax(weights[level], features, target)
+            e *= (-1 / total)[:, None]
+            e[np.arange(len(target)), target] += 1
             for f in features:
-                order = np.argsort(f, kind="stable")
-                r = f[order]
-                starts = np.flatnonzero(np.concatenate(([True], r[1:] != r[:-1])))
-                sums[level, r[starts]] += np.add.reduceat(both[order], starts, axis=0)
-                n[level] += np.bincount(f, minlength=n.shape[1])
+                if f.any():
+                    add_rows(more[level], f, e)
+                else:
+                    more[level, 0] += e.sum(0)
+                cell, n = np.unique(f * CLASSES + target, return_counts=True)
+                seen[level].reshape(-1)[cell] += n
 
 
 def train(tokens: DataFrame, rows: int, n_cell: np.ndarray, rounds: int = ROUNDS) -> np.ndarray:
@@ -189,42 +237,44 @@ def train(tokens: DataFrame, rows: int, n_cell: np.ndarray, rounds: int = ROUNDS
     weights = np.zeros((2, rows, CLASSES), np.float32)
     share = lambda n: np.log((n + 0.5) / (n + 0.5).sum(-1, keepdims=True))
     weights[0, 0], weights[1, :CLASSES] = share(n_cell.reshape(CLASSES, -1).sum(1)), share(n_cell.reshape(CLASSES, -1))
-    schema = "level int, block int, n binary, sums binary"
+    schema = "level int, block int, n binary, more binary, seen binary"
     width = min(BLOCK, rows)
 
     def update(w: np.ndarray, round_: int):
         def run(batches):
-            sums, n = np.zeros((2, rows, 2 * CLASSES), np.float32), np.zeros((2, rows))
+            more, seen = np.zeros((2, rows, CLASSES), np.float32), np.zeros((2, rows, CLASSES))
             for r in _rows_of(batches):
                 counts = _unpack(r["counts"], np.int32).astype(np.int64)
                 mine = _unpack(r["train"], bool) & ((np.arange(len(counts)) + r["piece"] % 1_000_003) % rounds == round_)
                 if mine.any():
                     at = _unpack(r["tokens"], np.int32)[np.repeat(mine, counts)]
                     seq, one, two, _ = sequence(np.frombuffer(r["hashes"], np.uint64)[at], counts[mine])
-                    gradient(w, seq, one, two, sums, n)
-            mean = (sums / np.maximum(n, 1)[:, :, None]).astype(np.float16)
+                    gradient(w, seq, one, two, more, seen)
             for level in (0, 1):
                 for b in range(0, rows, width):
-                    if n[level, b : b + width].any():
-                        yield pa.RecordBatch.from_pydict({"level": pa.array([level], pa.int32()), "block": pa.array([b], pa.int32()), "n": pa.array([_pack(n[level, b : b + width])], pa.binary()), "sums": pa.array([_pack(mean[level, b : b + width])], pa.binary())})
+                    s = slice(b, b + width)
+                    if seen[level, s].any():
+                        n = np.maximum(seen[level, s].sum(1), 1)  # tokens of each row; what goes with it are shares of them
+                        shares = [_pack((x[level, s] / n[:, None]).astype(np.float16)) for x in (more, seen)]
+                        yield pa.RecordBatch.from_pydict({"level": pa.array([level], pa.int32()), "block": pa.array([b], pa.int32()), **{k: pa.array([v], pa.binary()) for k, v in zip(("n", "more", "seen"), (_pack(n.astype(np.float32)), *shares))}})
 
         return run
 
     def total(t: pa.Table) -> pa.Table:
-        n, sums = np.zeros(width), np.zeros((width, 2 * CLASSES))
-        for x, y in zip(t.column("n"), t.column("sums")):
-            own = _unpack(x.as_py(), np.float64)
-            n += own
-            sums += _unpack(y.as_py(), np.float16).reshape(width, -1) * own[:, None]
-        return pa.table({"level": t.column("level")[:1], "block": t.column("block")[:1], "n": pa.array([n.tobytes()], pa.binary()), "sums": pa.array([sums.astype(np.float32).tobytes()], pa.binary())})
+        sums = np.zeros((2, width, CLASSES))
+        for n, *both in zip(*(t.column(c) for c in ("n", "more", "seen"))):
+            n = _unpack(n.as_py(), np.float32)
+            for k, x in enumerate(both):
+                sums[k] += _unpack(x.as_py(), np.float16).reshape(width, -1) * n[:, None]
+        return pa.table({"level": t.column("level")[:1], "block": t.column("block")[:1], "n": pa.nulls(1, pa.binary()), "more": pa.array([sums[0].astype(np.float32).tobytes()], pa.binary()), "seen": pa.array([sums[1].astype(np.float32).tobytes()], pa.binary())})
 
     pieces_ = tokens.select("piece", "train", "counts", "tokens", "hashes").coalesce(tokens.sparkSession.sparkContext.defaultParallelism)
     for k in range(rounds):
         sent = pieces_.mapInArrow(update(weights, k), schema).groupBy("level", "block").applyInArrow(total, schema)
         step = np.zeros_like(weights)
         for r in sent.toLocalIterator():  # a block of weight rows each
-            sums = np.frombuffer(r["sums"], np.float32).reshape(width, 2, CLASSES)
-            step[r["level"], r["block"] : r["block"] + width] = np.clip(sums[:, 0] / (sums[:, 1] + 2.0), -1.5, 1.5)
+            more, seen = (np.frombuffer(r[c], np.float32).reshape(width, CLASSES) for c in ("more", "seen"))
+            step[r["level"], r["block"] : r["block"] + width] = np.clip(more / (np.maximum(seen - more, 0) + 2.0), -1.5, 1.5)
         weights = weights + np.float32(RATE) * step
     return weights
 
@@ -232,10 +282,8 @@ def train(tokens: DataFrame, rows: int, n_cell: np.ndarray, rounds: int = ROUNDS
 def score_corpus(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 10, held: int = 0) -> DataFrame:
     """Per document: doc id, held_out, n_tokens, n_known, train_tokens, base_score (unigrams), score (this model), both log10."""
     tokens = _tokenised(docs, id_col, text_col, held, k)
-    words = _words(tokens)
-    totals = written(words.groupBy("hash").agg(F.sum("n").alias("total")), "totals")
-    # of each class and group: tokens, distinct words, words seen once; CLASSES ** 2 rows
-    each = totals.where("total > 0").groupBy(F.shiftrightunsigned("hash", 52).alias("cell")).agg(F.sum("total").alias("n"), F.count(F.lit(1)).alias("v"), F.count_if(F.col("total") == 1).alias("ones")).collect()
+    answers = _answers(tokens)
+    each = answers.where("piece is null").groupBy("cell").agg(*(F.sum(c).alias(c) for c in ("n", "v", "ones"))).collect()  # CLASSES ** 2 rows
     n_cell, v_cell, ones = np.zeros((3, CLASSES * CLASSES))
     for r in each:
         n_cell[r.cell], v_cell[r.cell], ones[r.cell] = r.n, r.v, r.ones
@@ -249,14 +297,13 @@ def score_corpus(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     unseen[n_cell == 0] = 1.0
     bits = int(np.clip(np.ceil(np.log2(max(n_all, 1) / TOKENS_PER_ROW)), LEAST_BITS, MOST_BITS))
     weights = train(tokens, 1 << bits, n_cell)
-    # every piece's words with their counts in all training texts
-    answers = words.select("hash", "piece", "at").join(totals, "hash").select("piece", "at", "total")
 
     def run(key, left: pa.Table, right: pa.Table) -> pa.Table:
         r = left.to_pylist()[0]
         hashes, sizes, at = np.frombuffer(r["hashes"], np.uint64), _unpack(r["counts"], np.int32).astype(np.int64), _unpack(r["tokens"], np.int32)
         count = np.zeros(len(hashes), np.int64)
-        count[right.column("at").to_numpy()] = right.column("total").to_numpy()
+        for ats, totals in zip(right.column("ats"), right.column("totals")):
+            count[_unpack(ats.as_py(), np.int32)] = _unpack(totals.as_py(), np.int64)
         inside = lambda c, cell: np.log(np.where(c > 0, (1 - unseen[cell]) * c / np.maximum(n_cell[cell], 1), unseen[cell]))
         seq, one, two, ends = sequence(hashes[at], sizes)
         last = np.zeros(len(seq), bool)
@@ -274,7 +321,7 @@ def score_corpus(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         })
 
     schema = f"{id_col} long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return tokens.groupBy("piece").cogroup(answers.groupBy("piece")).applyInArrow(run, schema)
+    return tokens.groupBy("piece").cogroup(answers.where("piece is not null").select("piece", "ats", "totals").groupBy("piece")).applyInArrow(run, schema)
 
 
 def op6_maxent(spark, sf_dir: str) -> DataFrame:
