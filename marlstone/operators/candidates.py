@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import re
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -100,24 +99,18 @@ def from_lines(pages: DataFrame, docs: DataFrame, by: tuple[str, ...] = ("doc_id
 
 
 def evidence(candidates: DataFrame, by: list[str], value: str, order: list[str], tolerance: float = 0.005) -> DataFrame:
-    """Greedy groups: a candidate joins the first group whose first member is within the tolerance, in the declared order."""
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in candidates.select(*by, *order, value).schema) + ", evidence_group int"
-
-    def run(t: pd.DataFrame) -> pd.DataFrame:
-        t = t.sort_values(order, kind="stable")
-        heads: list[float] = []
-        groups = []
-        for v in t[value]:
-            for i, h in enumerate(heads):
-                if max(abs(v), abs(h)) == 0 or abs(v - h) <= tolerance * max(abs(v), abs(h)):
-                    groups.append(i)
-                    break
-            else:
-                groups.append(len(heads))
-                heads.append(v)
-        return t.assign(evidence_group=groups)
-
-    return candidates.select(*by, *order, value).groupBy(*by).applyInPandas(run, schema)
+    """Greedy groups: a candidate joins the first group whose first member is within the tolerance, in the declared order. A group of by is folded in one row: candidates of a metric and document are few."""
+    rows = F.array_sort(F.collect_list(F.struct(*order, F.col(value).cast("double").alias("v"))))
+    none = F.struct(F.array().cast("array<double>").alias("heads"), F.array().cast("array<int>").alias("groups"))
+
+    def place(acc: Column, x: Column) -> Column:
+        at = F.array_position(F.transform(acc["heads"], lambda h: numbers.same_value(x["v"], h, tolerance)), F.lit(True)).cast("int")
+        group = F.when(at > 0, at - 1).otherwise(F.size(acc["heads"]))
+        return F.struct(F.when(at > 0, acc["heads"]).otherwise(F.array_append(acc["heads"], x["v"])).alias("heads"), F.array_append(acc["groups"], group).alias("groups"))
+
+    folded = candidates.groupBy(*by).agg(rows.alias("rows")).select(*by, "rows", F.aggregate("rows", none, place)["groups"].alias("groups"))
+    each = folded.select(*by, F.explode(F.arrays_zip("rows", "groups")).alias("x"))
+    return each.select(*by, *(F.col(f"x.rows.{c}").alias(c) for c in order), F.col("x.rows.v").alias(value), F.col("x.groups").alias("evidence_group"))
 
 
 def _names() -> list[tuple[int, str, str]]:

@@ -78,10 +78,11 @@ def penalty_conflict(by: list[str] = BY) -> Column:
     return F.when(best.isNull(), 0).otherwise(F.lit(22) + F.when(best > strength, 12).otherwise(0))
 
 
-def trial(c: DataFrame, by: list[str] = BY) -> DataFrame:
+def trial(c: DataFrame, by: list[str] = BY, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Penalties and what is left of the defence (court), with the columns in keep."""
     d = defence(c)
     t = d.select(
-        *by, "cid", "value", "page", "section", "col", "n_sections", "defence", penalty_year().alias("year_penalty"), penalty_conflict(by).alias("conflict_penalty"), penalty_unit().alias("unit_penalty"), penalty_alignment(by).alias("alignment_penalty")
+        *by, *keep, "cid", "value", "page", "section", "col", "n_sections", "defence", penalty_year().alias("year_penalty"), penalty_conflict(by).alias("conflict_penalty"), penalty_unit().alias("unit_penalty"), penalty_alignment(by).alias("alignment_penalty")
     )
     return t.withColumn("court", F.col("defence") - F.col("year_penalty") - F.col("conflict_penalty") - F.col("unit_penalty") - F.col("alignment_penalty"))
 

@@ -47,16 +47,15 @@ def pool(pages: DataFrame, cells: DataFrame, docs: DataFrame, by: str = "doc_id"
 def winners(candidates: DataFrame, by: str = "doc_id", profile: Profile = DOCUMENTED) -> DataFrame:
     """(by, metric, value, confidence, decision, page): the best founded candidate of each metric."""
     key = [by, "metric"]
-    judged = trial.ranked(trial.trial(candidates, key), key).where("place = 1")
-    about = candidates.select(*key, "cid", "tier", "n_aliases", "low", "high")
-    w = judged.join(about, [*key, "cid"])
+    w = trial.ranked(trial.trial(candidates, key, ("tier", "n_aliases", "low", "high")), key).where("place = 1")
     source = F.coalesce(*(F.when(F.col("section") == k, F.lit(v)) for k, v in trial.SOURCE.items()), F.lit(0.3))
     sound = F.when(numbers.in_range(F.col("value"), F.col("low"), F.col("high")), 1.0).otherwise(0.5)
     sure = trial.confidence(F.col("court"), source, trial.evidence_score(F.col("tier"), F.col("n_sections"), F.col("n_aliases")), sound, F.lit(0.6), F.lit(1.0), F.lit(False), profile)
     return w.select(*key, "value", sure.alias("confidence"), "page").withColumn("decision", trial.decision(F.col("confidence"), profile))
 
 
-def decided(pages: DataFrame, cells: DataFrame, by: str = "doc_id", profile: Profile = DOCUMENTED) -> DataFrame:
-    """One cell per document and metric: value, or ND, or NA, with confidence and decision."""
-    docs = documents(pages, by)
+def decided(pages: DataFrame, cells: DataFrame, docs: DataFrame, by: str = "doc_id", profile: Profile = DOCUMENTED) -> DataFrame:
+    """One cell per document and metric: value, or ND, or NA, with confidence and decision.
+
+    docs are the documents, as documents() gives them. They are used in many places: write them first, so that they are found once."""
     return output.cells(winners(pool(pages, cells, docs, by), by, profile), docs, by, profile)

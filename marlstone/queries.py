@@ -24,9 +24,9 @@ def report_years(s, d):
 
 
 def report_cells(s, d):
-    """Decided cells of all reports, counted by what they hold."""
-    cells = reporting.decided(reports.pages(s, d), reports.cells(s, d))
-    return cells.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_cells"), F.count_if((F.col("sentinel") == "NA") == F.col("value").isNotNull()).alias("n_odd"))
+    """Decided cells of all reports: how many there are, and how many hold neither or both of a value and a sentinel."""
+    cells = reporting.decided(reports.pages(s, d), reports.cells(s, d), reports.docs(s, d).select("doc_id", "kind", "fy"))
+    return cells.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_cells"), F.count_if(F.col("sentinel").isNull() != F.col("value").isNotNull()).alias("n_odd"))
 
 
 _TYPES = values_sql("metric, types", [(m[0], m[4]) for m in METRICS]).replace(" t(", " m(")
