@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from marlstone.functions import fiscal, numbers, text
-from marlstone.sources.tables import inline, values_sql
+from marlstone.plans import dims
+from marlstone.plans.dims import METRICS
+from marlstone.sources import reports
+from marlstone.sources.tables import inline, table, values_sql
 
 
 def cases(columns: str, rows: list[tuple], result: str, f, kind: str):
@@ -24,7 +27,8 @@ AMOUNTS = [("₹ 12,345 crore", "", 12345.0), ("12,345 million", "", 1234.5), ("
 PAIRS = [(70901.0, 70910.0), (70901.0, 71901.0), (0.0, 0.0), (2.81, 2.815), (100.0, 100.6), (-5.0, 5.0)]
 _PAIRS = values_sql("a, b", PAIRS)
 
-QUERIES = {
+#: Cases by hand of what the queries below run over tables.
+FIXTURES = {
     "num_parse_pkg": cases("cell", NUMBERS, "value", numbers.parse_number, D),
     "num_parse_single": cases("cell", [("1,09,231.34", 109231.34), ("(1,234)", -1234.0), ("3,19", 319.0), ("2.81%", 2.81), ("nil", None), ("-", None), ("abc", None), ("12 crore", None)], "value", numbers.parse_number_single, D),
     "nil_tokens": cases("cell", [("", True), ("-", True), ("--", True), ("NIL", True), ("N/A", True), ("n.a.", True), ("Not disclosed", True), ("0", False), ("12", False), ("none", False)], "nil", numbers.is_nil, B),
@@ -64,3 +68,37 @@ QUERIES = {
         f"SELECT a, printf('%,.2f', a) AS shown FROM {_PAIRS}",
     ),
 }
+
+
+_V, _C, _D = (f"{x} AS x" for x in (reports.VALUES_SQL, reports.CELLS_SQL, reports.DOCS_SQL))
+_KEY = ("doc_id", "metric")
+
+
+def _printed(s, d):
+    return reports.cells(s, d).where("r > 0 and c > 0")
+
+
+_AT = ("doc_id", "page", "r", "c")
+_RANGE = values_sql("metric, low, high", [(m[0], m[6], m[7]) for m in METRICS if m[6] is not None]).replace(" t(", " g(")
+
+#: The same functions over the reports' cells, values and names.
+OVER_TABLES = {
+    "num_parse_pkg": (lambda s, d: _printed(s, d).select(*_AT, numbers.parse_number(F.col("cell")).alias("value")), f"SELECT doc_id, page, r, c, TRY_CAST(replace(cell, ',', '') AS DOUBLE) AS value FROM {_C} WHERE r > 0 AND c > 0"),
+    "num_parse_single": (lambda s, d: _printed(s, d).select(*_AT, numbers.parse_number_single(F.col("cell")).alias("value")), f"SELECT doc_id, page, r, c, TRY_CAST(replace(cell, ',', '') AS DOUBLE) AS value FROM {_C} WHERE r > 0 AND c > 0"),
+    "nil_tokens": (lambda s, d: _printed(s, d).select(*_AT, numbers.is_nil(F.col("cell")).alias("nil")), f"SELECT doc_id, page, r, c, cell = 'nil' AS nil FROM {_C} WHERE r > 0 AND c > 0"),
+    "scale_detect_pkg": (lambda s, d: reports.docs(s, d).select("doc_id", numbers.scale_name(F.col("caption")).alias("scale")), f"SELECT doc_id, regexp_extract(caption, 'in ([a-z]+)', 1) AS scale FROM {_D}"),
+    "scale_detect_single": (lambda s, d: reports.pages(s, d).select("doc_id", "page", numbers.caption_scale(F.col("body")).alias("scale")), f"SELECT doc_id, page, nullif(regexp_extract(body, '[(]₹ in ([a-z]+)[)]', 1), '') AS scale FROM {reports.PAGES_SQL} AS x"),
+    "amount_to_crore": (lambda s, d: _printed(s, d).where("page < 6").select(*_AT, numbers.to_crore(F.col("cell"), F.col("caption")).alias("crore")), f"SELECT doc_id, page, r, c, ROUND(TRY_CAST(replace(cell, ',', '') AS DOUBLE) * CASE WHEN contains(caption, 'lakh') THEN CAST(0.01 AS DOUBLE) WHEN contains(caption, 'million') THEN CAST(0.1 AS DOUBLE) ELSE CAST(1 AS DOUBLE) END, 6) AS crore FROM {_C} WHERE r > 0 AND c > 0 AND page < 6"),
+    "missing_decimal": (lambda s, d: reports.values(s, d).join(F.broadcast(dims.metrics(s).where("low is not null").select("metric", "low", "high")), "metric").select(*_KEY, numbers.lacks_decimal(F.col("value") * 100, F.col("low"), F.col("high")).alias("lacks")), f"SELECT doc_id, metric, NOT value * 100 BETWEEN low AND high AND value * 100 / 100 BETWEEN low AND high AS lacks FROM {_V} JOIN {_RANGE} USING (metric)"),
+    "value_signature": (lambda s, d: reports.values(s, d).select(*_KEY, numbers.signature(F.col("value")).alias("sig")), f"SELECT doc_id, metric, regexp_replace(regexp_replace(CAST(CAST(value AS DECIMAL(28,4)) AS VARCHAR), '0+$', ''), '[.]$', '') AS sig FROM {_V}"),
+    "digits_only": (lambda s, d: _printed(s, d).select(*_AT, numbers.digits_only(F.col("cell")).alias("digits")), f"SELECT doc_id, page, r, c, regexp_replace(cell, '[^0-9]', '', 'g') AS digits FROM {_C} WHERE r > 0 AND c > 0"),
+    "name_key": (lambda s, d: reports.docs(s, d).select("doc_id", text.name_key(F.col("name")).alias("k")), f"SELECT doc_id, trim(regexp_replace(regexp_replace(regexp_replace(lower(name), '[^a-z0-9& ]', ' ', 'g'), '\\b(limited|ltd|pvt|private|corporation|corp|inc|the)\\b', ' ', 'g'), '\\s+', ' ', 'g')) AS k FROM {_D}"),
+    "safe_filename": (lambda s, d: reports.docs(s, d).select("doc_id", text.safe_filename(F.col("name")).alias("file")), f"SELECT doc_id, regexp_replace(name, '[^A-Za-z0-9._-]+', '_', 'g') AS file FROM {_D}"),
+    "first_line": (lambda s, d: table(s, d, "documents").select("doc_id", text.first_line(F.col("text")).alias("head")), "SELECT doc_id, string_split(text, chr(10))[1] AS head FROM documents"),
+    "fy_label": (lambda s, d: reports.docs(s, d).select("doc_id", fiscal.fy_label(F.col("fy")).alias("label")), f"SELECT doc_id, printf('FY%02d-%02d', (fy - 1) % 100, fy % 100) AS label FROM {_D}"),
+    "fy_end": (lambda s, d: reports.docs(s, d).select("doc_id", fiscal.fy_end(fiscal.fy_label(F.col("fy"))).alias("y")), f"SELECT doc_id, fy AS y FROM {_D}"),
+    "same_value_pairs": (lambda s, d: reports.values(s, d).select(*_KEY, numbers.same_value(F.col("value"), F.col("prior")).alias("same"), numbers.close_to(F.col("value"), F.col("prior")).alias("close")), f"SELECT doc_id, metric, greatest(abs(value), abs(prior)) = 0 OR abs(value - prior) <= 0.005 * greatest(abs(value), abs(prior)) AS same, abs(value - prior) <= greatest(CAST(0.01 AS DOUBLE), 0.005 * abs(value)) AS close FROM {_V}"),
+    "safe_div": (lambda s, d: reports.values(s, d).select(*_KEY, numbers.safe_div(F.col("prior"), F.col("value") * (F.col("doc_id") % 3)).alias("q")), f"SELECT doc_id, metric, CASE WHEN value * (doc_id % 3) <> 0 THEN prior / (value * (doc_id % 3)) END AS q FROM {_V}"),
+    "format_thousands": (lambda s, d: reports.values(s, d).select(*_KEY, F.format_number("value", 2).alias("shown")), f"SELECT doc_id, metric, printf('%,.2f', value) AS shown FROM {_V}"),
+}
+QUERIES = FIXTURES | OVER_TABLES

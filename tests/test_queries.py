@@ -7,6 +7,7 @@ from pathlib import Path
 
 import pytest
 
+from marlstone.operators import scalars
 from marlstone.queries import QUERIES
 
 D = "/root/testdata/sf0.001"
@@ -30,9 +31,12 @@ def plain(v):
     return round(float(v), 5) if hasattr(v, "is_finite") else int(v) if isinstance(v, bool) else v
 
 
-@pytest.mark.parametrize("name", list(QUERIES))
+EVERY = QUERIES | {f"{n} by hand": q for n, q in scalars.FIXTURES.items() if n in scalars.OVER_TABLES}
+
+
+@pytest.mark.parametrize("name", list(EVERY))
 def test_query(spark, duck, name):
-    query, sql = QUERIES[name]
+    query, sql = EVERY[name]
     df = query(spark, D)
     columns = sorted(df.columns)
     got = sorted((tuple(plain(r[c]) for c in columns) for r in df.collect()), key=repr)
