@@ -41,34 +41,56 @@ def array_facts(a: Column) -> list[Column]:
     return [F.aggregate(a, F.lit(0), lambda s, x: s + x).alias("total"), F.array_join(F.transform(F.reverse(a), lambda x: x.cast("string")), ",").alias("reversed"), F.array_max(a).alias("largest"), (F.array_position(a, F.array_max(a)) - 1).alias("largest_at"), F.array_min(a).alias("smallest"), (F.array_position(a, F.array_min(a)) - 1).alias("smallest_at")]
 
 
-_WANT = [("ann", "SQL"), ("ann", "Python"), ("ann", "Spark"), ("bob", "SQL")]
-_HELD = [("ann", "sql"), ("bob", "PYTHON")]
-_JOBS = [("analyst", 0, "junior", 10), ("analyst", 1, "senior", 20), ("dba", 0, "lead", 30)]
-_ASK = [(1, "Leo", "dev"), (2, "Leo", "ops"), (3, "Aries", "none")]
-_ARR = [(1, "3,1,2,3"), (2, "5"), (3, "-4,0,9")]
-_ARRAY = "list_transform(string_split(v, ','), lambda x: CAST(x AS INTEGER))"
-_STUDENTS = [("Ann", 20, 2024, "A"), ("Bob", 21, 2023, "B")]
-_COURSES = [("dev", "SQL 101"), ("dev", "Spark 1"), ("ops", "Linux")]
+#: Who wants and has which skill: a customer's orders ask for one of seven each, three of four customers have one.
+_WANT = "(SELECT DISTINCT o_custkey AS person, 'Skill ' || CAST(o_orderkey % 7 AS VARCHAR) AS skill FROM orders)"
+_HELD = "(SELECT c_custkey AS person, 'SKILL ' || CAST(c_custkey % 7 AS VARCHAR) AS skill FROM customer WHERE c_custkey % 4 <> 0)"
+_LIST = "(SELECT l_orderkey AS i, list(CAST(l_quantity AS INTEGER) ORDER BY l_linenumber, l_partkey, l_quantity) AS a FROM lineitem GROUP BY l_orderkey)"
 
 
-def _arr(s) -> DataFrame:
-    return inline(s, "i, v", _ARR).select("i", F.transform(F.split("v", ","), lambda x: x.cast("int")).alias("a"))
+def _want(s, d) -> DataFrame:
+    o = table(s, d, "orders")
+    return o.select(F.col("o_custkey").alias("person"), F.concat(F.lit("Skill "), (F.col("o_orderkey") % 7).cast("string")).alias("skill")).distinct()
 
 
-def _student(s) -> DataFrame:
-    return inline(s, "name, age, year, grade", _STUDENTS).select(F.struct(F.struct("name", "age").alias("info"), F.struct("year", "grade").alias("course")).alias("student"))
+def _held(s, d) -> DataFrame:
+    c = table(s, d, "customer").where("c_custkey % 4 <> 0")
+    return c.select(F.col("c_custkey").alias("person"), F.concat(F.lit("SKILL "), (F.col("c_custkey") % 7).cast("string")).alias("skill"))
+
+
+def _arr(s, d) -> DataFrame:
+    """An order's quantities, line by line."""
+    lines = F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", F.col("l_quantity").cast("int").alias("q"))))
+    return table(s, d, "lineitem").groupBy(F.col("l_orderkey").alias("i")).agg(F.transform(lines, lambda x: x["q"]).alias("a"))
+
+
+def _student(s, d) -> DataFrame:
+    return table(s, d, "customer").select(F.struct(F.struct(F.col("c_name").alias("name"), F.col("c_custkey").alias("number")).alias("info"), F.struct(F.col("c_nationkey").alias("year"), F.col("c_mktsegment").alias("grade")).alias("course")).alias("student"))
+
+
+def _advice(s, d) -> DataFrame:
+    """Customers ask, by nation (sign) and segment (role); one pair in three has advice of its own, one segment none."""
+    c, n = table(s, d, "customer"), table(s, d, "nation")
+    asked = c.select(F.col("c_custkey").alias("i"), F.col("c_nationkey").alias("sign"), F.col("c_mktsegment").alias("role"))
+    pairs = asked.select("sign", "role").distinct().where((F.col("sign") + F.length("role")) % 3 == 0)
+    roles = asked.select("role").distinct().where("role <> 'MACHINERY'")
+    return advice(asked, pairs.select("sign", "role", F.concat_ws(" ", F.lit("both"), F.col("sign").cast("string"), "role").alias("text")), roles.select("role", F.concat(F.lit("role "), "role").alias("text")), n.select(F.col("n_nationkey").alias("sign"), F.col("n_name").alias("text")))
+
+
+def _jobs(s, d) -> DataFrame:
+    steps = F.array_sort(F.collect_list(F.struct("p_partkey", "p_name", "p_size")))
+    return table(s, d, "part").groupBy(F.col("p_brand").alias("job")).agg(F.transform(steps, lambda x: F.struct(x["p_name"].alias("level"), x["p_size"].alias("salary"))).alias("roadmap"))
 
 
 QUERIES = {
     "zodiac_range": (lambda s, d: signs(table(s, d, "orders").select("o_orderkey", "o_orderdate"), "o_orderkey", "o_orderdate"), f"SELECT o_orderkey, sign FROM orders JOIN {values_sql(_Z, ZODIAC)} ON (month(o_orderdate) = m1 AND day(o_orderdate) >= d1) OR (month(o_orderdate) = m2 AND day(o_orderdate) <= d2)"),
-    "skills_anti": (lambda s, d: to_learn(inline(s, "person, skill", _WANT), inline(s, "person, skill", _HELD)), f"SELECT person, skill FROM {values_sql('person, skill', _WANT)} WHERE NOT EXISTS (SELECT 1 FROM {values_sql('p, s', _HELD).replace(' t(', ' h(')} WHERE p = person AND s = lower(skill))"),
-    "skills_except": (lambda s, d: inline(s, "person, skill", _WANT).select("person", F.lower("skill").alias("skill")).exceptAll(inline(s, "person, skill", _HELD).select("person", F.lower("skill").alias("skill"))), f"SELECT person, lower(skill) AS skill FROM {values_sql('person, skill', _WANT)} EXCEPT SELECT person, lower(skill) FROM {values_sql('person, skill', _HELD)}"),
-    "course_lookup": (lambda s, d: inline(s, "role, course", _COURSES).groupBy("role").agg(F.array_join(F.array_sort(F.collect_list("course")), "; ").alias("courses")), f"SELECT role, string_agg(course, '; ' ORDER BY course) AS courses FROM {values_sql('role, course', _COURSES)} GROUP BY role"),
-    "advice_fallback": (lambda s, d: advice(inline(s, "i, sign, role", _ASK), inline(s, "sign, role, text", [("Leo", "dev", "x")]), inline(s, "role, text", [("dev", "y"), ("ops", "z")]), inline(s, "sign, text", [("Aries", "w"), ("Leo", "v")])), f"SELECT * FROM {values_sql('i, text', [(1, 'x'), (2, 'z'), (3, 'w')])}"),
-    "roadmap_explode": (lambda s, d: roadmap(inline(s, "job, step, level, salary", _JOBS).groupBy("job").agg(F.transform(F.array_sort(F.collect_list(F.struct("step", "level", "salary"))), lambda x: F.struct(x["level"].alias("level"), x["salary"].alias("salary"))).alias("roadmap"))), f"SELECT job, step, level, salary FROM {values_sql('job, step, level, salary', _JOBS)}"),
-    "array_ops": (lambda s, d: _arr(s).select("i", *array_facts(F.col("a"))), f"SELECT i, CAST(list_sum(a) AS INTEGER) AS total, array_to_string(list_reverse(a), ',') AS reversed, list_max(a) AS largest, CAST(list_position(a, list_max(a)) - 1 AS BIGINT) AS largest_at, list_min(a) AS smallest, CAST(list_position(a, list_min(a)) - 1 AS BIGINT) AS smallest_at FROM (SELECT i, {_ARRAY} AS a FROM {values_sql('i, v', _ARR)})"),
-    "linear_search": (lambda s, d: _arr(s).select("i", F.when(F.array_position("a", F.lit(3)) > 0, F.array_position("a", F.lit(3)) - 1).alias("at")), f"SELECT i, CAST(list_position({_ARRAY}, 3) - 1 AS BIGINT) AS at FROM {values_sql('i, v', _ARR)}"),
+    "skills_anti": (lambda s, d: to_learn(_want(s, d), _held(s, d)), f"SELECT person, skill FROM {_WANT} AS w WHERE NOT EXISTS (SELECT 1 FROM {_HELD} AS h WHERE h.person = w.person AND lower(h.skill) = lower(w.skill))"),
+    "skills_except": (lambda s, d: _want(s, d).select("person", F.lower("skill").alias("skill")).exceptAll(_held(s, d).select("person", F.lower("skill").alias("skill"))), f"SELECT person, lower(skill) AS skill FROM {_WANT} EXCEPT SELECT person, lower(skill) FROM {_HELD}"),
+    "course_lookup": (lambda s, d: table(s, d, "part").select(F.col("p_brand").alias("role"), F.col("p_type").alias("course")).distinct().groupBy("role").agg(F.array_join(F.array_sort(F.collect_list("course")), "; ").alias("courses")), "SELECT p_brand AS role, string_agg(DISTINCT p_type, '; ' ORDER BY p_type) AS courses FROM part GROUP BY p_brand"),
+    "advice_fallback": (_advice, "SELECT c_custkey AS i, CASE WHEN (c_nationkey + length(c_mktsegment)) % 3 = 0 THEN 'both ' || c_nationkey || ' ' || c_mktsegment WHEN c_mktsegment <> 'MACHINERY' THEN 'role ' || c_mktsegment ELSE n_name END AS text FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey"),
+    "roadmap_explode": (lambda s, d: roadmap(_jobs(s, d)), "SELECT p_brand AS job, CAST(row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey, p_name, p_size) - 1 AS INTEGER) AS step, p_name AS level, p_size AS salary FROM part"),
+    "array_ops": (lambda s, d: _arr(s, d).select("i", *array_facts(F.col("a"))), f"SELECT i, CAST(list_sum(a) AS INTEGER) AS total, array_to_string(list_reverse(a), ',') AS reversed, list_max(a) AS largest, CAST(list_position(a, list_max(a)) - 1 AS BIGINT) AS largest_at, list_min(a) AS smallest, CAST(list_position(a, list_min(a)) - 1 AS BIGINT) AS smallest_at FROM {_LIST}"),
+    "linear_search": (lambda s, d: _arr(s, d).select("i", F.when(F.array_position("a", F.lit(3)) > 0, F.array_position("a", F.lit(3)) - 1).alias("at")), f"SELECT i, CASE WHEN list_contains(a, 3) THEN CAST(list_position(a, 3) - 1 AS BIGINT) END AS at FROM {_LIST}"),
     "factorial": (lambda s, d: s.range(0, 13).select("id", F.factorial("id").alias("f")), "SELECT CAST(range AS BIGINT) AS id, CAST(factorial(CAST(range AS INTEGER)) AS BIGINT) AS f FROM range(13)"),
-    "struct_fields": (lambda s, d: _student(s).select(F.col("student.info.name").alias("name"), F.col("student.course.grade").alias("grade")), f"SELECT name, grade FROM {values_sql('name, age, year, grade', _STUDENTS)}"),
+    "struct_fields": (lambda s, d: _student(s, d).select(F.col("student.info.name").alias("name"), F.col("student.course.grade").alias("grade")), "SELECT c_name AS name, c_mktsegment AS grade FROM customer"),
     "top_records": (lambda s, d: table(s, d, "events").orderBy("event_id").limit(5).select("event_id", "event_type"), "SELECT event_id, event_type FROM events ORDER BY event_id LIMIT 5"),
 }
