@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
 
@@ -50,6 +51,18 @@ def discard(*tables: DataFrame) -> None:
             p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+@contextlib.contextmanager
+def arrow_batches(spark: SparkSession, size: int):
+    """While it lasts, Spark hands Python batches of about `size` bytes; then as before. For plans that run inside it, on rows that are large."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, str(size))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before) if before is not None else spark.conf.unset(key)
+
+
 def remainder(doc_id: Column, k: int) -> Column:
     """crc32 of the id as text, mod k; a null id counts as empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % k

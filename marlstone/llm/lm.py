@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, mix64, pieces, remainder, written
+from .common import Words, arrow_batches, mix64, pieces, remainder, written
 
 DIGIT = 5  #: bits of the hash that make the class, and as many after them the group
 CLASSES = 1 << DIGIT  #: and as many groups in a class
@@ -192,7 +192,7 @@ def softmax(weights: np.ndarray, features: list[np.ndarray], target: np.ndarray)
 def add_rows(table: np.ndarray, rows: np.ndarray, values: np.ndarray) -> None:
     """table[rows] += values, repeated rows included."""
     if len(rows):
-        order = np.argsort(rows, kind="stable")
+        order = np.argsort(rows.astype(np.uint16) if len(table) <= 1 << 16 else rows, kind="stable")  # short keys sort by their digits
         rows = rows[order]
         starts = np.flatnonzero(np.concatenate(([True], rows[1:] != rows[:-1])))
         table[rows[starts]] += np.add.reduceat(values[order], starts, axis=0)
@@ -218,6 +218,7 @@ def log_probability(weights: np.ndarray, seq: np.ndarray, one: np.ndarray, two:
 
 def gradient(weights: np.ndarray, seq: np.ndarray, one: np.ndarray, two: np.ndarray, more: np.ndarray, seen: np.ndarray) -> None:
     """Adds to seen (2 levels x rows x CLASSES) the observed outcomes of each weight row, and to more the observed minus the expected ones."""
+    cells_seen: tuple[list, list] = ([], [])
     for _, levels in _batches(seq, one, two, weights.shape[1]):
         for level, features, target in levels:
             _, e, total = softmax(weights[level], features, target)
@@ -228,8 +229,10 @@ def gradient(weights: np.ndarray, seq: np.ndarray, one: np.ndarray, two: np.ndar
                     add_rows(more[level], f, e)
                 else:
                     more[level, 0] += e.sum(0)
-                cell, n = np.unique(f * CLASSES + target, return_counts=True)
-                seen[level].reshape(-1)[cell] += n
+                cells_seen[level].append(f * CLASSES + target)
+    for level, found in enumerate(cells_seen):
+        if found:
+            seen[level] += np.bincount(np.concatenate(found), minlength=seen[level].size).reshape(seen[level].shape)
 
 
 def train(tokens: DataFrame, rows: int, n_cell: np.ndarray, rounds: int = ROUNDS) -> np.ndarray:
@@ -281,8 +284,9 @@ def train(tokens: DataFrame, rows: int, n_cell: np.ndarray, rounds: int = ROUNDS
 
 def score_corpus(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 10, held: int = 0) -> DataFrame:
     """Per document: doc id, held_out, n_tokens, n_known, train_tokens, base_score (unigrams), score (this model), both log10."""
-    tokens = _tokenised(docs, id_col, text_col, held, k)
-    answers = _answers(tokens)
+    with arrow_batches(docs.sparkSession, 2 * PIECE):
+        tokens = _tokenised(docs, id_col, text_col, held, k)
+        answers = _answers(tokens)
     each = answers.where("piece is null").groupBy("cell").agg(*(F.sum(c).alias(c) for c in ("n", "v", "ones"))).collect()  # CLASSES ** 2 rows
     n_cell, v_cell, ones = np.zeros((3, CLASSES * CLASSES))
     for r in each:
@@ -296,7 +300,8 @@ def score_corpus(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     unseen = (ones + 0.5) / (n_cell + 1.0)
     unseen[n_cell == 0] = 1.0
     bits = int(np.clip(np.ceil(np.log2(max(n_all, 1) / TOKENS_PER_ROW)), LEAST_BITS, MOST_BITS))
-    weights = train(tokens, 1 << bits, n_cell)
+    with arrow_batches(docs.sparkSession, 2 * PIECE):
+        weights = train(tokens, 1 << bits, n_cell)
 
     def run(key, left: pa.Table, right: pa.Table) -> pa.Table:
         r = left.to_pylist()[0]
