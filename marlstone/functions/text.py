@@ -23,12 +23,14 @@ def _ratio(a: str, b: str) -> float:
     """Twice the matched length over both lengths, longest common subsequence based, in percent."""
     if not a or not b:
         return 0.0
-    row = [0] * (len(b) + 1)
+    at: dict[str, int] = {}
+    for j, y in enumerate(b):
+        at[y] = at.get(y, 0) | 1 << j
+    whole = rest = (1 << len(b)) - 1  # one bit a letter of b; those that the longest common subsequence takes are 0 in the end
     for x in a:
-        left = 0
-        for j, y in enumerate(b, 1):
-            row[j], left = (left + 1 if x == y else max(row[j], row[j - 1])), row[j]
-    return 200.0 * row[-1] / (len(a) + len(b))
+        taken = rest & at.get(x, 0)
+        rest = ((rest + taken) | (rest - taken)) & whole
+    return 200.0 * (len(b) - rest.bit_count()) / (len(a) + len(b))
 
 
 def partial(a: str, b: str) -> float:
@@ -64,6 +66,43 @@ partial_ratio = _pairwise(partial)
 token_set_ratio = _pairwise(token_set)
 sequence_ratio = _pairwise(lambda x, y: difflib.SequenceMatcher(None, x, y).ratio())
 
+
+
+def nearest_run(names: list[tuple[int, str]], least: float):
+    """Arrow UDF (keys, weights) -> (s, i): the name (i, its key) that the keys' words have nearly: the best of 0.75 x ratio x weight, ratio at least `least`, the smallest i of ties; null without any."""
+    by_word: dict[str, list[tuple[int, str, int]]] = {}
+    for i, k in names:
+        for word in set(k.split()):
+            if len(word) >= 4:
+                by_word.setdefault(word, []).append((i, k, len(k.split())))
+
+    def runs(key: str):
+        words = key.split(" ")
+        for at, word in enumerate(words):
+            for i, k, n in by_word.get(word, ()):
+                for b in range(max(at - n + 1, 0), at + 1):
+                    run = " ".join(words[b : b + n])
+                    if abs(len(run) - len(k)) <= 1:
+                        yield i, k, run
+
+    def search(keys: pd.Series, weights: pd.Series) -> pd.DataFrame:
+        known: dict[tuple[str, str], float] = {}
+        out = []
+        for ks, ws in zip(keys, weights):
+            best = None
+            for key, weight in zip(ks, ws) if ks is not None else ():
+                for i, k, run in set(runs(key)) if key else ():
+                    ratio = known.get((k, run))
+                    if ratio is None:
+                        ratio = known[k, run] = partial(k, run)
+                    if ratio >= least:
+                        best = max(best or (-1.0, 0), (0.75 * ratio * weight, -i))
+            out.append((None, None) if best is None else (best[0], -best[1]))
+        return pd.DataFrame(out, columns=["s", "i"]).astype({"s": "float64", "i": "Int32"})
+
+    return F.pandas_udf(search, "s double, i int")
+
+
 _FORMS = r"\b(?:limited|ltd|pvt|private|corporation|corp|inc|the)\b"
 
 

@@ -117,55 +117,65 @@ def _names() -> list[tuple[int, str, str]]:
     return [(i, r[0], n) for i, r in enumerate(dims.INSTITUTIONS) for n in [r[0], *r[3].split("|")] if n]
 
 
-def haystacks(pages: DataFrame, by: list[str]) -> DataFrame:
-    """(by, place, weight, text): where a document names its institution: the first six pages, up to three of the auditors' report, the first two lines of the first forty."""
+def places(pages: DataFrame, by: list[str]) -> DataFrame:
+    """(by, page, body, parts): where a page may name its document's institution, with place, weight and text: the first six pages, up to three of the auditors' report, the first two lines of the first forty. A page's later parts hold nothing that its first does not, and weigh less."""
     w = Window.partitionBy(*by).orderBy("page")
     auditor = F.col("body").rlike(r"(?i)independent\s+auditors?.{0,3}\s+report|to\s+the\s+members\s+of")
     p = pages.select(*by, "page", "body", F.row_number().over(w).alias("n"), F.when(auditor, F.sum(auditor.cast("int")).over(w)).alias("a"))
     part = lambda name, weight, cond, x: F.when(cond, F.struct(F.lit(name).alias("place"), F.lit(weight).alias("weight"), x.alias("text")))
     parts = F.array(part("cover", 1.0, F.col("n") <= 6, F.col("body")), part("auditor", 0.9, F.col("a") <= 3, F.col("body")), part("headers", 0.7, F.col("n") <= 40, F.array_join(F.slice(F.split("body", "\n"), 1, 2), "\n")))
-    return p.select(*by, F.explode(F.filter(parts, lambda x: x.isNotNull())).alias("x")).select(*by, "x.*")
+    return p.select(*by, "page", "body", F.filter(parts, lambda x: x.isNotNull()).alias("parts"))
+
+
+def _keyed(c: Column) -> Column:
+    """The words of a text as names are compared, each between blanks."""
+    return F.concat(F.lit(" "), text.name_key(F.regexp_replace(c, "\n", " ")), F.lit(" "))
+
+
+def _named(place: Column, weight: Column, body: Column) -> Column:
+    """Array of (i, s, t): institutions that a text names by number, words or symbol. What is looked for is first asked for as plain text: names by their first word."""
+    listed = [(i, f" {_key(n)} ", _key(n).split()) for i, _, n in _names()]
+    names = F.array(*(F.struct(F.lit(i).alias("i"), F.lit(k).alias("k"), F.lit(words[0]).alias("first"), F.lit(min(1.0, 0.55 + 0.05 * len(words)) * 90).alias("s")) for i, k, words in listed))
+    firsts = F.array(*(F.lit(x) for x in sorted({words[0] for _, _, words in listed})))
+    cins = F.array(*(F.struct(F.lit(i).alias("i"), F.lit(dims.CINS[r[0]].lower()).alias("k")) for i, r in enumerate(dims.INSTITUTIONS) if r[0] in dims.CINS))
+    marks = lambda low: F.array(*(F.when((place == "cover") & F.contains(low, F.lit(dims.TICKERS[r[0]].lower())) & body.rlike(rf"(?i)\b{re.escape(dims.TICKERS[r[0]])}\b"), F.lit(i)) for i, r in enumerate(dims.INSTITUTIONS) if r[0] in dims.TICKERS))
+    hit = lambda i, s, t: F.struct(i.alias("i"), s.alias("s"), F.lit(t).alias("t"))
+    within = lambda key: numbers.let(F.array_intersect(F.split(key, " "), firsts), lambda have: F.when(F.size(have) > 0, F.filter(names, lambda x: F.array_contains(have, x["first"]) & F.contains(key, x["k"]))))
+    named = F.transform(F.coalesce(numbers.let(_keyed(body), within), F.slice(names, 1, 0)), lambda x: hit(x["i"], x["s"] * weight, 0.0))
+    other = lambda low: F.concat(F.transform(F.filter(cins, lambda x: F.contains(low, x["k"])), lambda x: hit(x["i"], F.lit(100.0), 0.0)), F.transform(F.filter(marks(low), lambda x: x.isNotNull()), lambda i: hit(i, F.lit(0.0), 5.0)))
+    return F.concat(named, numbers.let(F.lower(body), other))
 
 
 def identified(pages: DataFrame, by: list[str], fuzzy_names: bool = True) -> DataFrame:
     """(by, institution, category, type, confidence) of every document: a registered number is sure, names count by their words and place, an exchange symbol on the cover adds 5; the best of 45 or more, ties in the list's order.
 
-    Documents without any are looked at for names with a slip (fuzzy_names), and at last take the first fitting line of their first page: a non-bank if it speaks of finance."""
-    hay, keyed = haystacks(pages, by), F.concat(F.lit(" "), text.name_key(F.regexp_replace("text", "\n", " ")), F.lit(" "))
-    names = F.array(*(F.struct(F.lit(i).alias("i"), F.lit(_key(n)).alias("k")) for i, _, n in _names()))
-    cins = F.array(*(F.struct(F.lit(i).alias("i"), F.lit(dims.CINS[r[0]].lower()).alias("k")) for i, r in enumerate(dims.INSTITUTIONS) if r[0] in dims.CINS))
-    marks = F.array(*(F.when((F.col("place") == "cover") & F.col("text").rlike(rf"(?i)\b{re.escape(dims.TICKERS[r[0]])}\b"), F.lit(i)) for i, r in enumerate(dims.INSTITUTIONS) if r[0] in dims.TICKERS))
-    within = numbers.let(keyed, lambda key: F.filter(names, lambda x: F.contains(key, F.concat(F.lit(" "), x["k"], F.lit(" ")))))
-    named = F.transform(within, lambda x: F.struct(x["i"].alias("i"), (F.least(F.lit(1.0), 0.55 + 0.05 * F.size(F.split(x["k"], " "))) * 90 * F.col("weight")).alias("s"), F.lit(0.0).alias("t")))
-    sure = F.transform(numbers.let(F.lower("text"), lambda t: F.filter(cins, lambda x: F.contains(t, x["k"]))), lambda x: F.struct(x["i"].alias("i"), F.lit(100.0).alias("s"), F.lit(0.0).alias("t")))
-    marked = F.transform(F.filter(marks, lambda x: x.isNotNull()), lambda i: F.struct(i.alias("i"), F.lit(0.0).alias("s"), F.lit(5.0).alias("t")))
-    each = hay.select(*by, F.explode(F.concat(named, sure, marked)).alias("x")).groupBy(*by, "x.i").agg((F.max("x.s") + F.max("x.t")).alias("score"))
-    best = each.groupBy(*by).agg(F.max(F.struct("score", (-F.col("i")).alias("i"))).alias("b")).where("b.score >= 45").select(*by, (-F.col("b.i")).alias("i"), F.least(F.lit(100.0), F.round("b.score", 4)).alias("confidence"))
+    Documents without any are looked at for names with a slip (fuzzy_names), and at last take the first fitting line of their first page: a non-bank if it speaks of finance.
+    A document's pages meet once: what its few places name is folded in one row, which keeps their texts for the search for slips."""
+    first = F.get("parts", F.lit(0))
+    named = F.when(F.size("parts") > 0, numbers.let(first, lambda p: _named(p["place"], p["weight"], p["text"])))
+    guess = F.coalesce(F.get(F.filter(F.split("body", "\n"), lambda x: F.length(F.trim(x)).between(6, 70) & x.rlike("[A-Za-z]")), F.lit(0)), F.lit("unknown"))
+    each = places(pages, by).select(*by, "page", guess.alias("guess"), "parts", named.alias("named"))
+    each = each.groupBy(*by).agg(F.min_by("guess", "page").alias("guess"), F.flatten(F.collect_list("named")).alias("named"), F.flatten(F.collect_list("parts")).alias("parts"))
+    most = lambda of, i, c: F.array_max(F.transform(F.filter(of, lambda x: x["i"] == i), lambda x: x[c]))
+    scores = numbers.let(F.col("named"), lambda of: F.transform(F.array_distinct(F.transform(of, lambda x: x["i"])), lambda i: F.struct((most(of, i, "s") + most(of, i, "t")).alias("score"), (-i).alias("i"))))
+    each = each.select(*by, "guess", "parts", F.array_max(scores).alias("b"))
+    sure = F.coalesce(F.col("b.score") >= 45, F.lit(False))
+    each = each.select(*by, "guess", F.when(~sure, F.col("parts")).alias("parts"), F.when(sure, -F.col("b.i")).alias("i"), F.when(sure, F.least(F.lit(100.0), F.round("b.score", 4))).alias("confidence"))
     if fuzzy_names:
-        best = best.union(slipped(hay.withColumn("key", keyed).join(best, by, "left_anti"), by))
+        each = slipped(each, by)
     rows = F.broadcast(inline(pages.sparkSession, "i, institution, category, type", [(i, *r[:3]) for i, r in enumerate(dims.INSTITUTIONS)]))  # 36 rows
-    known = best.join(rows, "i").select(*by, "institution", "category", "type", "confidence")
-    w = Window.partitionBy(*by).orderBy("page")
-    cover = pages.join(known, by, "left_anti").withColumn("n", F.row_number().over(w)).where("n = 1")
-    guess = F.coalesce(F.get(F.filter(F.split("body", "\n"), lambda x: F.length(F.trim(x)).between(6, 70) & x.rlike("[A-Za-z]")), F.lit(0)), F.lit("unknown"))
-    finance = F.lower(F.col("institution")).rlike(r"\bfinance\b")
-    other = cover.select(*by, F.trim(guess).alias("institution")).select(*by, "institution", F.when(finance, "NBFC").otherwise("Private Sector Bank"), F.when(finance, "nbfc").otherwise("bank"), F.lit(0.0))
-    return known.union(other)
-
-
-def slipped(hay: DataFrame, by: list[str], least: float = 95.0) -> DataFrame:
-    """(by, i, confidence): names of 12 letters or more that a text has nearly (ratio 95 or more), at 0.75 of the ratio by place. Only runs of as many words that share a word and a length (within one) with the name are compared."""
-    names = [(i, n) for i, _, n in _names()]
-    spark = hay.sparkSession
-    list_ = inline(spark, "i, name", names).select("i", text.name_key(F.col("name")).alias("k")).where(F.length("k") >= 12).withColumn("words", F.split("k", " "))
-    tokens = F.broadcast(list_.select("i", "k", F.size("words").alias("n"), F.explode(F.array_distinct("words")).alias("token")).where(F.length("token") >= 4))  # of 36 institutions
-    words = F.split(F.trim(F.substring("key", 1, 4000)), " ")
-    at = hay.select(*by, "weight", words.alias("words")).select(*by, "weight", "words", F.posexplode("words").alias("at", "token")).join(tokens, "token")
-    runs = F.transform(F.sequence(F.greatest(F.col("at") - F.col("n") + 1, F.lit(0)), F.col("at")), lambda b: F.array_join(F.slice(F.col("words"), b + 1, F.col("n")), " "))
-    pairs = at.select(*by, "weight", "i", "k", F.explode(F.array_distinct(runs)).alias("run")).where(F.abs(F.length("run") - F.length("k")) <= 1).distinct()
-    near = pairs.withColumn("ratio", text.partial_ratio(F.col("k"), F.col("run"))).where(F.col("ratio") >= least)
-    best = near.groupBy(*by).agg(F.max(F.struct((0.75 * F.col("ratio") * F.col("weight")).alias("s"), (-F.col("i")).alias("i"))).alias("b"))
-    return best.where("b.s >= 45").select(*by, (-F.col("b.i")).alias("i"), F.round("b.s", 4).alias("confidence"))
+    finance, known = F.lower(F.trim("guess")).rlike(r"\bfinance\b"), F.col("i").isNotNull()
+    other = lambda c, yes, no: F.when(known, F.col(c)).when(finance, yes).otherwise(no).alias(c)
+    return each.join(rows, "i", "left").select(*by, F.when(known, F.col("institution")).otherwise(F.trim("guess")).alias("institution"), other("category", "NBFC", "Private Sector Bank"), other("type", "nbfc", "bank"), F.coalesce("confidence", F.lit(0.0)).alias("confidence"))
+
+
+def slipped(docs: DataFrame, by: list[str], least: float = 95.0) -> DataFrame:
+    """docs with i and confidence of those that have parts left: names of 12 letters or more that a text has nearly (ratio 95 or more), at 0.75 of the ratio by place. Only runs of as many words that share a word and a length (within one) with the name are compared."""
+    names = [(i, _key(n)) for i, _, n in _names() if len(_key(n)) >= 12]
+    keys = F.transform("parts", lambda x: F.trim(F.substring(_keyed(x["text"]), 1, 4000)))
+    best = text.nearest_run(names, least)(keys, F.transform("parts", lambda x: x["weight"]))
+    found = docs.withColumn("b", F.when(F.col("parts").isNotNull(), best)).withColumn("near", F.coalesce(F.col("b.s") >= 45, F.lit(False)))
+    return found.select(*by, "guess", F.when(F.col("near"), F.col("b.i")).otherwise(F.col("i")).alias("i"), F.when(F.col("near"), F.round("b.s", 4)).otherwise(F.col("confidence")).alias("confidence"))
 
 
 def nearest_row(names: DataFrame, rows: DataFrame, least: float = 0.85, token_set: bool = False) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import time
 
 import golden
 import pytest
@@ -199,3 +200,16 @@ def test_entity_names_leave_out_regulators(spark):
     assert [(r.doc_id, r.name, r.confidence) for r in got] == [(1, "Lakeside Bank Limited", 1.0)]
     names = tables.inline(spark, "p", [("/a/b/Bank_of_India_FY2021-22.pdf",), ("LAKESIDE-FINANCE 2022.pdf",)])
     assert [r[0] for r in names.select(votes.file_name_guess(F.col("p"))).collect()] == ["Bank of India", "Lakeside Finance"]
+
+
+def test_slips_of_a_document_in_time(spark):
+    """Names in many documents of many pages: one pass, and ratios of long words by bits."""
+    from marlstone.functions import text
+
+    assert text._ratio("kitten", "sitting") == pytest.approx(200 * 4 / 13) and text._ratio("ab", "ba") == 50.0
+    run = text.nearest_run([(7, "canara bank of india")], 95.0)
+    rows = [(1, ["of kanara bank of india and", "canara bank of indja"], [0.7, 1.0]), (2, ["reserve bank of india", None], [1.0, 1.0]), (3, None, None)]
+    got = {r.id: r.b for r in spark.createDataFrame(rows, "id int, k array<string>, w array<double>").select("id", run("k", "w").alias("b")).collect()}
+    assert (got[1].i, got[1].s) == (7, pytest.approx(0.75 * 95.0)) and got[2].i is None and got[3].i is None
+    t = time.time()
+    assert text.partial("a" * 4000, "b" * 4001) == 0.0 and time.time() - t < 2  # 16 million steps a letter pair at a time
