@@ -1,7 +1,7 @@
 """Candidate values: row labels and text lines against the alias dictionary, names against the institution list, evidence groups.
 
-The alias dictionary is a constant of 197 patterns: they are literals of one projection, so labels are neither shuffled nor
-met by a join. Fuzzy ratios run only on labels and documents that no pattern or name matches.
+The alias dictionary is a constant of 197 patterns: they are literals of one projection, which sees every distinct label of a
+type once; its hits join the labels by Spark's own size threshold. Fuzzy ratios run only on labels and documents that no pattern or name matches.
 """
 
 from __future__ import annotations
@@ -33,11 +33,13 @@ def hits(label: Column, kind: Column) -> Column:
 
 
 def matched(labels: DataFrame, label: str, kind: Column, *keys: str) -> DataFrame:
-    """(keys, label, metric, ord, score, unit, low, high): per label and metric the first pattern that matches the cleaned label; 100 for (nearly) the whole label, less for every further character. A % label matches ratios only."""
-    found = labels.select(*keys, label, F.explode(numbers.let(text.clean_label(F.col(label)), lambda x: hits(x, kind))).alias("m")).select(*keys, label, "m.*")
+    """(keys, label, metric, ord, score, unit, low, high): per label and metric the first pattern that matches the cleaned label; 100 for (nearly) the whole label, less for every further character. A % label matches ratios only. Reports print the same labels: each is looked up once per type."""
+    each = labels.select(*keys, label, kind.alias("_kind"))
+    found = each.select(label, "_kind").distinct().select(label, "_kind", F.explode(numbers.let(text.clean_label(F.col(label)), lambda x: hits(x, F.col("_kind")))).alias("m")).select(label, "_kind", "m.*")
     found = found.where(~F.contains(label, F.lit("%")) | F.col("unit").isin("percent", "ratio"))
     score = F.when(F.col("excess") <= 3, 100.0).otherwise(F.greatest(F.lit(70.0), 100.0 - 1.5 * F.col("excess")))
-    return found.select(*keys, label, "metric", "ord", score.alias("score"), "unit", "low", "high")
+    found = found.select(label, "_kind", "metric", "ord", score.alias("score"), "unit", "low", "high")
+    return each.join(found, [label, "_kind"]).select(*keys, label, "metric", "ord", "score", "unit", "low", "high")
 
 
 def fuzzy(labels: DataFrame, metrics: DataFrame, label: str, least: float = 90.0) -> DataFrame:
@@ -87,13 +89,21 @@ def from_tables(cells: DataFrame, docs: DataFrame, pages: DataFrame | None = Non
     )
 
 
+def needed(pattern: str) -> str:
+    """The longest text, in lower case, that every match of an alias holds: what is left without groups, classes, escapes and letters that may lack. Looked for before the pattern."""
+    for part in (r"\\.[?*+]?", r"\((?:[^()]|\([^()]*\))*\)[?*+]?", r"\[[^\]]*\][?*+]?", r".[?*]", r"[.^$+]"):
+        pattern = re.sub(part, "\0", pattern)
+    return max(pattern.split("\0"), key=len).lower()
+
+
 def from_lines(pages: DataFrame, docs: DataFrame, by: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """One candidate per metric and line: the first number within 90 characters after the alias, of the first alias that has one."""
     types = {m[0]: m[4] for m in dims.METRICS}
     tail = lambda p: F.substring(F.col("line"), F.length(F.regexp_extract("line", f"(?s)^(.*?)(?:(?i){p})", 0)) + 1, F.lit(90))
-    each = [F.when(F.contains(F.lit(types[m]), F.col("kind")) & F.col("line").rlike(f"(?i){p}"), F.struct(F.lit(m).alias("metric"), F.lit(i).alias("ord"), tail(p).alias("tail"))) for m, patterns in dims.ALIASES.items() for i, p in enumerate(patterns)]
-    ls = P.lines(pages, "body", *by, "page").join(docs.select(*by, "kind"), list(by))
+    each = [F.when(F.contains("low", F.lit(needed(p))) & F.col("line").rlike(f"(?i){p}"), F.struct(F.lit(m).alias("metric"), F.lit(types[m]).alias("types"), F.lit(i).alias("ord"), tail(p).alias("tail"))) for m, patterns in dims.ALIASES.items() for i, p in enumerate(patterns)]
+    ls = P.lines(pages, "body", *by, "page").where(F.col("line").rlike(r"\d")).withColumn("low", F.lower("line"))
     found = ls.select(*by, "page", "line_no", F.explode(F.filter(F.array(*each), lambda x: x.isNotNull())).alias("m")).select(*by, "page", "line_no", "m.*")
+    found = found.join(docs.select(*by, "kind"), list(by)).where(F.contains("types", F.col("kind")))
     found = found.withColumn("value", numbers.parse_number(F.regexp_extract("tail", r"\(?-?\d[\d,]*(?:\.\d+)?\)?", 0))).where("value is not null")
     return found.groupBy(*by, "page", "line_no", "metric").agg(F.min_by("value", "ord").alias("value"))
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 import time
 
 import golden
@@ -213,3 +214,14 @@ def test_slips_of_a_document_in_time(spark):
     assert (got[1].i, got[1].s) == (7, pytest.approx(0.75 * 95.0)) and got[2].i is None and got[3].i is None
     t = time.time()
     assert text.partial("a" * 4000, "b" * 4001) == 0.0 and time.time() - t < 2  # 16 million steps a letter pair at a time
+
+
+def test_what_an_alias_needs_is_in_all_it_matches():
+    from marlstone.operators.candidates import needed
+    from marlstone.sources.reports import LINES
+
+    labels = [x[1] for x in LINES] + ["TOTAL ASSETS", "deposits", "Non-Interest Income", "write-offs during the year", "GNPA %", "Tier II Capital", "P / E", "CARE AA+", "Shareholders' Funds"]
+    for patterns in dims.ALIASES.values():
+        for p in patterns:
+            assert all(needed(p) in x.lower() for x in labels if re.search(p, x, re.I)), p
+    assert needed(r"Gross\s+Loans?\s*(?:and\s+Advances)?") == "gross" and needed(r"\bD/E\b") == "d/e" and needed("(?:a|b)") == ""
