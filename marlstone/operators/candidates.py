@@ -128,13 +128,13 @@ def _names() -> list[tuple[int, str, str]]:
 
 
 def places(pages: DataFrame, by: list[str]) -> DataFrame:
-    """(by, page, body, parts): where a page may name its document's institution, with place, weight and text: the first six pages, up to three of the auditors' report, the first two lines of the first forty. A page's later parts hold nothing that its first does not, and weigh less."""
+    """Pages with n, their place, and parts: where a page may name its document's institution, with place, weight and text: the first six pages, up to three of the auditors' report, the first two lines of the first forty. A page's later parts hold nothing that its first does not, and weigh less."""
     w = Window.partitionBy(*by).orderBy("page")
     auditor = F.col("body").rlike(r"(?i)independent\s+auditors?.{0,3}\s+report|to\s+the\s+members\s+of")
-    p = pages.select(*by, "page", "body", F.row_number().over(w).alias("n"), F.when(auditor, F.sum(auditor.cast("int")).over(w)).alias("a"))
+    p = pages.select("*", F.row_number().over(w).alias("n"), F.when(auditor, F.sum(auditor.cast("int")).over(w)).alias("a"))
     part = lambda name, weight, cond, x: F.when(cond, F.struct(F.lit(name).alias("place"), F.lit(weight).alias("weight"), x.alias("text")))
     parts = F.array(part("cover", 1.0, F.col("n") <= 6, F.col("body")), part("auditor", 0.9, F.col("a") <= 3, F.col("body")), part("headers", 0.7, F.col("n") <= 40, F.array_join(F.slice(F.split("body", "\n"), 1, 2), "\n")))
-    return p.select(*by, "page", "body", F.filter(parts, lambda x: x.isNotNull()).alias("parts"))
+    return p.select("*", F.filter(parts, lambda x: x.isNotNull()).alias("parts"))
 
 
 def _keyed(c: Column) -> Column:
@@ -156,27 +156,29 @@ def _named(place: Column, weight: Column, body: Column) -> Column:
     return F.concat(named, numbers.let(F.lower(body), other))
 
 
-def identified(pages: DataFrame, by: list[str], fuzzy_names: bool = True) -> DataFrame:
+def identified(pages: DataFrame, by: list[str], fuzzy_names: bool = True, also: Column | None = None) -> DataFrame:
     """(by, institution, category, type, confidence) of every document: a registered number is sure, names count by their words and place, an exchange symbol on the cover adds 5; the best of 45 or more, ties in the list's order.
 
     Documents without any are looked at for names with a slip (fuzzy_names), and at last take the first fitting line of their first page: a non-bank if it speaks of finance.
-    A document's pages meet once: what its few places name is folded in one row, which keeps their texts for the search for slips."""
+    A document's pages meet once: what its few places name is folded in one row, which keeps their texts for the search for slips. also: an array of each page, the n-th of its document; those of a document come out as one."""
+    more = [] if also is None else ["also"]
     first = F.get("parts", F.lit(0))
     named = F.when(F.size("parts") > 0, numbers.let(first, lambda p: _named(p["place"], p["weight"], p["text"])))
     guess = F.coalesce(F.get(F.filter(F.split("body", "\n"), lambda x: F.length(F.trim(x)).between(6, 70) & x.rlike("[A-Za-z]")), F.lit(0)), F.lit("unknown"))
-    each = places(pages, by).select(*by, "page", guess.alias("guess"), "parts", named.alias("named"))
-    each = each.groupBy(*by).agg(F.min_by("guess", "page").alias("guess"), F.flatten(F.collect_list("named")).alias("named"), F.flatten(F.collect_list("parts")).alias("parts"))
+    each = places(pages, by).select(*by, "page", guess.alias("guess"), "parts", named.alias("named"), *([] if also is None else [also.alias("also")]))
+    each = each.groupBy(*by).agg(F.min_by("guess", "page").alias("guess"), *(F.flatten(F.collect_list(c)).alias(c) for c in ("named", "parts", *more)))
     most = lambda of, i, c: F.array_max(F.transform(F.filter(of, lambda x: x["i"] == i), lambda x: x[c]))
     scores = numbers.let(F.col("named"), lambda of: F.transform(F.array_distinct(F.transform(of, lambda x: x["i"])), lambda i: F.struct((most(of, i, "s") + most(of, i, "t")).alias("score"), (-i).alias("i"))))
-    each = each.select(*by, "guess", "parts", F.array_max(scores).alias("b"))
+    each = each.select(*by, "guess", "parts", *more, F.array_max(scores).alias("b"))
     sure = F.coalesce(F.col("b.score") >= 45, F.lit(False))
-    each = each.select(*by, "guess", F.when(~sure, F.col("parts")).alias("parts"), F.when(sure, -F.col("b.i")).alias("i"), F.when(sure, F.least(F.lit(100.0), F.round("b.score", 4))).alias("confidence"))
+    each = each.select(*by, "guess", *more, F.when(~sure, F.col("parts")).alias("parts"), F.when(sure, -F.col("b.i")).alias("i"), F.when(sure, F.least(F.lit(100.0), F.round("b.score", 4))).alias("confidence"))
     if fuzzy_names:
-        each = slipped(each, by)
-    rows = F.broadcast(inline(pages.sparkSession, "i, institution, category, type", [(i, *r[:3]) for i, r in enumerate(dims.INSTITUTIONS)]))  # 36 rows
+        each = slipped(each, [*by, *more])
+    rows = F.array(*(F.struct(*(F.lit(x).alias(c) for c, x in zip(("institution", "category", "type"), r))) for r in dims.INSTITUTIONS))  # 36 rows: a join would keep all of this alive for whoever asks for none of it
     finance, known = F.lower(F.trim("guess")).rlike(r"\bfinance\b"), F.col("i").isNotNull()
-    other = lambda c, yes, no: F.when(known, F.col(c)).when(finance, yes).otherwise(no).alias(c)
-    return each.join(rows, "i", "left").select(*by, F.when(known, F.col("institution")).otherwise(F.trim("guess")).alias("institution"), other("category", "NBFC", "Private Sector Bank"), other("type", "nbfc", "bank"), F.coalesce("confidence", F.lit(0.0)).alias("confidence"))
+    other = lambda c, yes, no: F.when(known, F.col(f"row.{c}")).when(finance, yes).otherwise(no).alias(c)
+    each = each.withColumn("row", F.get(rows, F.col("i").cast("int")))
+    return each.select(*by, F.when(known, F.col("row.institution")).otherwise(F.trim("guess")).alias("institution"), other("category", "NBFC", "Private Sector Bank"), other("type", "nbfc", "bank"), F.coalesce("confidence", F.lit(0.0)).alias("confidence"), *more)
 
 
 def slipped(docs: DataFrame, by: list[str], least: float = 95.0) -> DataFrame:

@@ -14,11 +14,11 @@ from marlstone.plans.dims import DOCUMENTED, Profile
 
 
 def documents(pages: DataFrame, by: str = "doc_id") -> DataFrame:
-    """(by, institution, category, kind, identified, fy, fy_confidence) of every document whose pages name a year."""
+    """(by, institution, category, kind, identified, fy, fy_confidence) of every document whose pages name a year. Pages meet once, for who and when."""
     kinds = F.create_map(*(F.lit(x) for letter, name in dims.TYPES.items() for x in (name, letter)))
-    who = C.identified(pages, [by]).select(by, "institution", "category", F.element_at(kinds, F.col("type")).alias("kind"), F.col("confidence").alias("identified"))
-    when = P.year_votes(P.labelled(pages), [by]).select(by, F.col("fy_end").alias("fy"), F.col("confidence").alias("fy_confidence"))
-    return who.join(when, by)
+    who = C.identified(P.labelled(pages), [by], also=P.ballots(F.col("n")))
+    best = who.withColumn("best", numbers.let(F.col("also"), P.elected)).where("best is not null")
+    return best.select(by, "institution", "category", F.element_at(kinds, F.col("type")).alias("kind"), F.col("confidence").alias("identified"), F.col("best.y").alias("fy"), F.col("best.confidence").alias("fy_confidence"))
 
 
 def pool(pages: DataFrame, cells: DataFrame, docs: DataFrame, by: str = "doc_id") -> DataFrame:

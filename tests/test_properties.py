@@ -225,3 +225,19 @@ def test_what_an_alias_needs_is_in_all_it_matches():
         for p in patterns:
             assert all(needed(p) in x.lower() for x in labels if re.search(p, x, re.I)), p
     assert needed(r"Gross\s+Loans?\s*(?:and\s+Advances)?") == "gross" and needed(r"\bD/E\b") == "d/e" and needed("(?:a|b)") == ""
+
+
+def test_years_alone_look_for_no_names(spark):
+    """Who asks documents for their years pays for no names, and pages are sorted once."""
+    from marlstone.queries import report_years
+
+    plan = report_years(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "EvalPython" not in plan and "Join" not in plan.replace("BroadcastNestedLoopJoin", "").replace("BroadcastHashJoin", "")
+
+
+def test_votes_for_years(spark):
+    """A year's votes add up over a document's pages; the latest of ties wins, and a document without a year is none."""
+    rows = [(1, 1, "Annual Report 2021-22"), (1, 2, "Balance Sheet as at March 31, 2023\nand March 31, 2023"), (2, 1, "FY2020 and FY2021"), (3, 1, "no year")]
+    got = {r.doc_id: (r.fy, r.fy_confidence) for r in reporting.documents(spark.createDataFrame(rows, "doc_id long, page int, body string")).collect()}
+    # document 1: 2022 has 1 + 0.5; 2023 twice 3 + 1 of the body and twice 0.5 of the first two lines
+    assert got == {1: (2023, round(9 / 10.5, 4)), 2: (2021, 0.5)}
