@@ -26,6 +26,7 @@ SCALES = (
 FOREIGN = r"(?i)(\bUSD\b|\bUS\s*\$|\bU\.S\.\s*\$|\$\s*(?:mn|million|bn)|\bEUR\b|\bJPY\b|\bGBP\b|\bSDR\b)"
 _RUPEE = r"(?i)₹|\bRs\b\.?|\bINR\b|\bRupees\b"
 _MARKS = "[*†‡^#~º°¹²³⁰-₟]+"
+PLAIN = r"^\d+(?:(?:,\d{2,3})*,\d{3})?(?:\.\d+)?$"
 _CAPTION = r"(?i)\([^)]*\b(crore|lakh|million|billion|thousand)s?\b[^)]*\)|(?:₹|\bRs\.?|\bINR)\s+in\s+(?:crore|lakh|million|billion|thousand)s?"
 
 
@@ -69,7 +70,9 @@ def parse_number(c: Column) -> Column:
         value = let(digits, lambda x: F.when(x.rlike(r"^\d*\.?\d+$"), x.try_cast("double")))
         return let(value, lambda v: F.when(minus, -v).otherwise(v))
 
-    return let(clean(F.regexp_replace(c, _MARKS, "")), sized)
+    # most cells are plain: digits with grouping commas, the last group of three; and without a digit there is no number
+    plain = F.when(c.rlike(PLAIN), F.translate(c, ",", "").try_cast("double"))
+    return F.coalesce(plain, F.when(c.rlike(r"\d"), let(clean(F.regexp_replace(c, _MARKS, "")), sized)))
 
 
 def parse_number_single(c: Column) -> Column:

@@ -32,14 +32,26 @@ def hits(label: Column, kind: Column) -> Column:
     return F.filter(F.array(*(first(m, p) for m, p in dims.ALIASES.items())), lambda x: x.isNotNull())
 
 
-def matched(labels: DataFrame, label: str, kind: Column, *keys: str) -> DataFrame:
-    """(keys, label, metric, ord, score, unit, low, high): per label and metric the first pattern that matches the cleaned label; 100 for (nearly) the whole label, less for every further character. A % label matches ratios only. Reports print the same labels: each is looked up once per type."""
-    each = labels.select(*keys, label, kind.alias("_kind"))
-    found = each.select(label, "_kind").distinct().select(label, "_kind", F.explode(numbers.let(text.clean_label(F.col(label)), lambda x: hits(x, F.col("_kind")))).alias("m")).select(label, "_kind", "m.*")
+#: Matches of labels that are held in one small table; beyond them they join.
+HELD = 20_000
+
+
+def dictionary(texts: DataFrame, label: str) -> DataFrame:
+    """(label, metric, ord, score, unit, low, high): what distinct texts match, of metrics of all types. Looked up at once: up to HELD matches become a small table, so that what is looked up in it need not move; more stay a plan."""
+    found = texts.select(label).distinct().select(label, F.explode(numbers.let(text.clean_label(F.col(label)), lambda x: hits(x, F.lit("")))).alias("m")).select(label, "m.*")
     found = found.where(~F.contains(label, F.lit("%")) | F.col("unit").isin("percent", "ratio"))
     score = F.when(F.col("excess") <= 3, 100.0).otherwise(F.greatest(F.lit(70.0), 100.0 - 1.5 * F.col("excess")))
-    found = found.select(label, "_kind", "metric", "ord", score.alias("score"), "unit", "low", "high")
-    return each.join(found, [label, "_kind"]).select(*keys, label, "metric", "ord", "score", "unit", "low", "high")
+    found = found.select(label, "metric", "ord", score.alias("score"), "unit", "low", "high")
+    few = found.limit(HELD + 1).toArrow()
+    return F.broadcast(texts.sparkSession.createDataFrame(few, found.schema)) if few.num_rows <= HELD else found
+
+
+def matched(labels: DataFrame, label: str, kind: Column, *keys: str, texts: DataFrame | None = None) -> DataFrame:
+    """(keys, label, metric, ord, score, unit, low, high): per label and metric the first pattern that matches the cleaned label; 100 for (nearly) the whole label, less for every further character. A % label matches ratios only. Reports print the same labels: each is looked up once. texts: where labels come from, if that is nearer than labels are."""
+    each = labels.select(*keys, label, kind.alias("_kind"))
+    types = F.create_map(*(F.lit(x) for m in dims.METRICS for x in (m[0], m[4])))
+    found = each.join(dictionary(each if texts is None else texts, label), label)
+    return found.where(F.contains(F.element_at(types, F.col("metric")), F.col("_kind"))).select(*keys, label, "metric", "ord", "score", "unit", "low", "high")
 
 
 def fuzzy(labels: DataFrame, metrics: DataFrame, label: str, least: float = 90.0) -> DataFrame:
@@ -52,40 +64,87 @@ def fuzzy(labels: DataFrame, metrics: DataFrame, label: str, least: float = 90.0
 TOTALS = ("total_assets", "total_deposits", "gross_advances", "net_worth")
 
 
+def _scale(*texts: Column) -> Column:
+    """(scale, foreign) of the first text that names a unit or a foreign currency; null without one."""
+    read = lambda c: numbers.let(F.struct(numbers.scale_name(c).alias("scale"), numbers.is_foreign(c).alias("foreign")), lambda x: F.when(x["scale"].isNotNull() | x["foreign"], x))
+    return F.coalesce(*(read(c) for c in texts))
+
+
+def _top(c: str) -> Column:
+    """What stands in the first three rows of a table, sorted."""
+    return F.array_join(F.sort_array(F.collect_list(F.when(F.col("r") < 3, F.col(c)))), " ")
+
+
 def table_scales(cells: DataFrame, pages: DataFrame | None, by: list[str]) -> DataFrame:
     """(by, page, table_id, scale, foreign): the unit of a table by its caption, else by its first three rows, else by the head of its page; a foreign currency ends the search."""
-    t = cells.where("r < 3").groupBy(*by, "page", "table_id").agg(F.max("caption").alias("caption"), F.array_join(F.array_sort(F.collect_list("cell")), " ").alias("rows"))
+    t = cells.where("r < 3").groupBy(*by, "page", "table_id").agg(F.max("caption").alias("caption"), _top("cell").alias("rows"))
     t = t.withColumn("head", F.lit(None).cast("string")) if pages is None else t.join(pages.select(*by, "page", F.substring("body", 1, 600).alias("head")), [*by, "page"], "left")
-    read = lambda c: F.struct(numbers.scale_name(F.col(c)).alias("scale"), numbers.is_foreign(F.col(c)).alias("foreign"))
-    sure = F.filter(F.array(*(read(c) for c in ("caption", "rows", "head"))), lambda x: x["scale"].isNotNull() | x["foreign"])
-    return t.select(*by, "page", "table_id", F.get(sure, F.lit(0)).alias("s")).select(*by, "page", "table_id", "s.scale", F.coalesce("s.foreign", F.lit(False)).alias("foreign"))
-
-
-def from_tables(cells: DataFrame, docs: DataFrame, pages: DataFrame | None = None, by: tuple[str, ...] = ("doc_id",), drop_foreign: bool = False, fail_closed: bool = False) -> DataFrame:
+    return t.select(*by, "page", "table_id", _scale(F.col("caption"), F.col("rows"), F.col("head")).alias("s")).select(*by, "page", "table_id", "s.scale", F.coalesce("s.foreign", F.lit(False)).alias("foreign"))
+
+
+def _rows(cells: Column, fy: Column) -> Column:
+    """Array of (r, label, vals) of a table's cells: the labelled rows with their numbers (c, raw, y, resolved) of columns that are numeric or have a year."""
+    let, named_at = numbers.let, lambda of: F.filter(of, lambda x: x["r"] == F.array_min(F.transform(of, lambda z: z["r"])))
+    heads = F.transform(F.filter(cells, lambda x: x["head"].isNotNull()), lambda x: F.struct(x["r"].alias("r"), x["c"].alias("c"), P.head_year(x["head"], fy).alias("y")))
+    full = F.filter(cells, lambda x: x["number"].isNotNull())
+    size = lambda of, c: F.size(F.filter(of, lambda x: x["c"] == c))
+    numeric = let(full, lambda of: let(F.filter(of, lambda x: x["number"]), lambda some: F.sort_array(F.filter(F.array_distinct(F.transform(of, lambda x: x["c"])), lambda c: 2 * size(some, c) >= size(of, c)))))
+    column = lambda c, y, resolved: F.struct(c.alias("c"), y.cast("int").alias("y"), resolved.alias("resolved"))
+
+    def columns(named: Column, numeric: Column) -> Column:
+        # without heads the first numeric column is the document's year, the second the one before; a lone column is sure of it
+        assumed = F.transform(numeric, lambda c, i: column(c, F.when(i < 2, fy - i), (F.size(numeric) == 1)))
+        known = F.transform(named, lambda x: column(x["c"], x["y"], F.lit(True)))
+        rest = F.filter(numeric, lambda c: ~F.exists(named, lambda x: x["c"] == c))
+        return F.when(F.size(named) == 0, assumed).otherwise(F.concat(known, F.transform(rest, lambda c: column(c, F.lit(None), F.lit(False)))))
+
+    def values(columns: Column) -> Column:
+        raw = F.transform(F.filter(cells, lambda x: x["raw"].isNotNull()), lambda x: F.struct(x["r"].alias("r"), x["c"].alias("c"), x["raw"].alias("raw"), F.get(F.filter(columns, lambda k: k["c"] == x["c"]), F.lit(0)).alias("k")))
+        return F.filter(raw, lambda x: x["k"].isNotNull())
+
+    labels = F.sort_array(F.transform(F.filter(cells, lambda x: x["label"].isNotNull()), lambda x: F.struct(x["r"].alias("r"), x["c"].alias("c"), x["label"].alias("label"))))
+    first = let(labels, lambda of: F.filter(of, lambda x, i: (i == 0) | (F.get(of, i - 1)["r"] != x["r"])))
+    of_row = lambda vals, r: F.transform(F.filter(vals, lambda v: v["r"] == r), lambda v: F.struct(v["c"].alias("c"), v["raw"].alias("raw"), v["k"]["y"].alias("y"), v["k"]["resolved"].alias("resolved")))
+    rows = lambda vals: F.transform(first, lambda x: F.struct(x["r"].alias("r"), x["label"].alias("label"), of_row(vals, x["r"]).alias("vals")))
+    named = let(F.filter(heads, lambda x: x["y"].isNotNull()), named_at)
+    found = let(named, lambda a: let(numeric, lambda b: let(columns(a, b), lambda k: let(values(k), rows))))
+    return F.filter(found, lambda x: F.size(x["vals"]) > 0)
+
+
+def from_tables(cells: DataFrame, docs: DataFrame, pages: DataFrame | None = None, by: tuple[str, ...] = ("doc_id",), drop_foreign: bool = False, fail_closed: bool = False, also: tuple[str, ...] = ()) -> DataFrame:
     """One candidate per matched row and column that is numeric or has a year. Amounts are in crore; bare years and blanks are out, and bare totals but for TOTALS.
 
     docs has kind and fy. drop_foreign: tables in a foreign currency give nothing (else is_foreign says so); fail_closed:
-    metrics without a range give nothing."""
-    by2, place = (*by, "kind", "fy"), ["page", "table_id"]
-    c = cells.join(docs.select(*by2), list(by))
-    body = c.where("r > 0")
-    found = matched(P.row_labels(body, by2), "label", F.col("kind"), *by2, *place, "r")
-    found = found.where(~F.lower(F.trim("label")).isin("total", "grand total") | F.col("metric").isin(*TOTALS))
-    if fail_closed:
-        found = found.where("low is not null and high is not null")
-    named, numeric = P.column_years(c, by2), P.numeric_columns(c, by2)
-    bare = numeric.join(named.select(*by2, *place).distinct(), [*by2, *place], "left_anti")
-    years = named.withColumn("resolved", F.lit(True)).unionByName(P.assumed_years(bare, by2).withColumnRenamed("sure", "resolved"))
-    columns = numeric.select(*by2, *place, "c").union(named.select(*by2, *place, "c")).distinct().join(years, [*by2, *place, "c"], "left")
-    scales = table_scales(c, pages, list(by))
-    values = body.join(columns, [*by2, *place, "c"]).withColumn("raw", numbers.parse_number(F.col("cell"))).where(F.col("raw").isNotNull() & ~F.col("cell").rlike(r"^\s*(?:19|20)\d{2}\s*$"))
-    out = found.join(values, [*by2, *place, "r"]).join(scales, [*by, *place], "left")
+    metrics without a range give nothing. also: columns of docs or pages to keep. Cells are read once and folded per table; what
+    the pages say joins by document."""
+    cell, body, place = F.col("cell"), F.col("r") > 0, [*by, "page", "table_id"]
+    number, label = cell.rlike(r"\d") & ~P.is_bare_year(cell), F.when(body & P.is_label(cell), cell)
+    one = F.struct(
+        "r", "c", F.when((F.col("r") < 8) & cell.rlike(r"\d"), P.squeezed(cell)).alias("head"), label.alias("label"), F.when(body & number, numbers.parse_number(cell)).alias("raw"), F.when(body & (F.trim("cell") != ""), number).alias("number"),
+    )
+    # dealt out by document before they are folded: an aggregate would evaluate what a cell says without generated code
+    each = cells.select(*place, "section", "caption", F.when(F.col("r") < 3, cell).alias("cell"), "r", one.alias("one")).repartition(*by)
+    t = each.groupBy(*place).agg(F.collect_list("one").alias("cells"), F.max("section").alias("section"), F.max(F.when(F.col("r") < 3, F.col("caption"))).alias("caption"), _top("cell").alias("rows"))
+    of_page = [c for c in also if pages is not None and c in pages.columns]
+    docs = docs.select(*dict.fromkeys([*by, "kind", "fy", *(c for c in also if c not in of_page)]))
+    if pages is not None:
+        docs = docs.join(pages.groupBy(*by).agg(F.collect_list(F.struct("page", F.substring("body", 1, 600).alias("head"), *of_page)).alias("pages")), list(by), "left")
+    t = t.join(docs, list(by))
+    t = t.withColumn("on", F.lit(None).cast("struct<head:string>") if pages is None else F.get(F.filter("pages", lambda x: x["page"] == F.col("page")), F.lit(0)))
+    kept = [*(F.col(f"on.{c}").alias(c) for c in of_page), *(c for c in also if c not in of_page)]
+    t = t.select(*place, "section", "kind", *kept, _scale(F.col("caption"), F.col("rows"), F.col("on.head")).alias("s"), F.explode(_rows(F.col("cells"), F.col("fy"))).alias("x"))
+    t = t.select(*place, "section", "kind", *also, "s.scale", F.coalesce("s.foreign", F.lit(False)).alias("foreign"), "x.*")
     if drop_foreign:
-        out = out.where("not foreign")
+        t = t.where("not foreign")
+    out = matched(t, "label", F.col("kind"), *place, "section", *also, "scale", "foreign", "r", "vals", texts=cells.where(label.isNotNull()).select(cell.alias("label")))
+    out = out.where(~F.lower(F.trim("label")).isin("total", "grand total") | F.col("metric").isin(*TOTALS))
+    if fail_closed:
+        out = out.where("low is not null and high is not null")
+    out = out.withColumn("v", F.explode("vals"))
     currency = F.col("unit") == "currency"
     return out.select(
-        *by, "metric", "page", "section", "table_id", "r", "c", "y", F.coalesce("resolved", F.lit(False)).alias("resolved"), "label", "score", F.when(currency, F.col("raw") * F.coalesce(numbers.factor(F.col("scale")), F.lit(1.0))).otherwise(F.col("raw")).alias("value"),
-        "unit", "low", "high", (currency & F.col("foreign")).alias("is_foreign"), (currency & F.col("scale").isNull()).alias("inferred"),
+        *by, "metric", "page", "section", "table_id", "r", "v.c", "v.y", "v.resolved", "label", "score", F.when(currency, F.col("v.raw") * F.coalesce(numbers.factor(F.col("scale")), F.lit(1.0))).otherwise(F.col("v.raw")).alias("value"),
+        "unit", "low", "high", (currency & F.col("foreign")).alias("is_foreign"), (currency & F.col("scale").isNull()).alias("inferred"), *also,
     )
 
 
@@ -96,16 +155,17 @@ def needed(pattern: str) -> str:
     return max(pattern.split("\0"), key=len).lower()
 
 
-def from_lines(pages: DataFrame, docs: DataFrame, by: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """One candidate per metric and line: the first number within 90 characters after the alias, of the first alias that has one."""
+def from_lines(pages: DataFrame, docs: DataFrame, by: tuple[str, ...] = ("doc_id",), also: tuple[str, ...] = ()) -> DataFrame:
+    """One candidate per metric and line: the first number within 90 characters after the alias, of the first alias that has one. also: columns of docs or pages to keep."""
+    of_page = [c for c in also if c in pages.columns]
     types = {m[0]: m[4] for m in dims.METRICS}
     tail = lambda p: F.substring(F.col("line"), F.length(F.regexp_extract("line", f"(?s)^(.*?)(?:(?i){p})", 0)) + 1, F.lit(90))
     each = [F.when(F.contains("low", F.lit(needed(p))) & F.col("line").rlike(f"(?i){p}"), F.struct(F.lit(m).alias("metric"), F.lit(types[m]).alias("types"), F.lit(i).alias("ord"), tail(p).alias("tail"))) for m, patterns in dims.ALIASES.items() for i, p in enumerate(patterns)]
-    ls = P.lines(pages, "body", *by, "page").where(F.col("line").rlike(r"\d")).withColumn("low", F.lower("line"))
-    found = ls.select(*by, "page", "line_no", F.explode(F.filter(F.array(*each), lambda x: x.isNotNull())).alias("m")).select(*by, "page", "line_no", "m.*")
-    found = found.join(docs.select(*by, "kind"), list(by)).where(F.contains("types", F.col("kind")))
+    ls = P.lines(pages, "body", *by, "page", *of_page).where(F.col("line").rlike(r"\d")).withColumn("low", F.lower("line"))
+    found = ls.select(*by, "page", *of_page, "line_no", F.explode(F.filter(F.array(*each), lambda x: x.isNotNull())).alias("m")).select(*by, "page", *of_page, "line_no", "m.*")
+    found = found.join(docs.select(*by, "kind", *(c for c in also if c not in of_page)), list(by)).where(F.contains("types", F.col("kind")))
     found = found.withColumn("value", numbers.parse_number(F.regexp_extract("tail", r"\(?-?\d[\d,]*(?:\.\d+)?\)?", 0))).where("value is not null")
-    return found.groupBy(*by, "page", "line_no", "metric").agg(F.min_by("value", "ord").alias("value"))
+    return found.groupBy(*by, "page", "line_no", "metric", *also).agg(F.min_by("value", "ord").alias("value"))
 
 
 def evidence(candidates: DataFrame, by: list[str], value: str, order: list[str], tolerance: float = 0.005) -> DataFrame:

@@ -62,10 +62,9 @@ def scale_hint() -> Column:
 
 def penalty_alignment(by: list[str] = BY) -> Column:
     """A poor label, a head without a year, and a neighbouring column of the same table whose year is known."""
-    column = Window.partitionBy(*by, "table_id").orderBy("col")
-    known = lambda a, b: F.count_if(F.col("resolved")).over(column.rangeBetween(a, b))
-    beside = F.col("table_id").isNotNull() & F.col("col").isNotNull() & (known(-1, 1) > known(0, 0))
-    return F.when(F.col("in_table") & (F.col("label_score") < 88), 30).otherwise(0) + F.when(~F.col("resolved") & F.col("has_header"), 20).otherwise(0) + F.when(beside & ~F.col("resolved"), 20).otherwise(0)
+    every = F.collect_list(F.struct("table_id", "col", "resolved")).over(Window.partitionBy(*by))
+    beside = F.exists(every, lambda o: (o["table_id"] == F.col("table_id")) & o["resolved"] & (o["col"] != F.col("col")) & (F.abs(o["col"] - F.col("col")) <= 1))
+    return F.when(F.col("in_table") & (F.col("label_score") < 88), 30).otherwise(0) + F.when(~F.col("resolved") & F.col("has_header"), 20).otherwise(0) + F.when(~F.col("resolved") & beside, 20).otherwise(0)
 
 
 def penalty_conflict(by: list[str] = BY) -> Column:
@@ -92,6 +91,12 @@ def ranked(t: DataFrame, by: list[str] = BY) -> DataFrame:
     return t.withColumn("place", F.row_number().over(w))
 
 
+def best(t: DataFrame, by: list[str] = BY, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The first of ranked, with its court, n_sections, section, page, col, cid and the columns in keep: folded, so that candidates are not sorted again."""
+    order = F.struct(F.col("court").isNull().alias("none"), (-F.col("court")).alias("least"), (-F.col("n_sections")).alias("fewest"), (-points(F.col("section"))).alias("lowest"), "page", "col", "cid", "court", "n_sections", "section", *keep)
+    return t.groupBy(*by).agg(F.min(order).alias("b")).select(*by, *(f"b.{c}" for c in ("court", "n_sections", "section", "page", "col", "cid", *keep)))
+
+
 def rejected(t: DataFrame, by: list[str] = BY, most: int = 8) -> DataFrame:
     """Per document and metric the candidates after the winner, the best eight, in order."""
     lost = ranked(t, by).where((F.col("place") > 1) & (F.col("place") <= most + 1))

@@ -241,3 +241,42 @@ def test_votes_for_years(spark):
     got = {r.doc_id: (r.fy, r.fy_confidence) for r in reporting.documents(spark.createDataFrame(rows, "doc_id long, page int, body string")).collect()}
     # document 1: 2022 has 1 + 0.5; 2023 twice 3 + 1 of the body and twice 0.5 of the first two lines
     assert got == {1: (2023, round(9 / 10.5, 4)), 2: (2021, 0.5)}
+
+
+def test_cells_are_read_once(spark, tmp_path):
+    """Labels, years, columns, units and numbers of a table come out of one reading of its cells."""
+    golden.cells(spark).write.parquet(str(tmp_path / "cells"))
+    found = candidates.from_tables(spark.read.parquet(str(tmp_path / "cells")), golden.docs(spark), golden.pages(spark))
+    assert found._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+
+
+def test_columns_of_a_table(spark):
+    """A numeric column beside years has none; without heads the first two are this year and last; a lone one is sure; labels may stand behind a number."""
+    tables_ = {"named": [["Particulars", "Note", "March 31, 2023", "March 31, 2022"], ["Total Assets", "4", "9,000", "8,000"]], "bare": [["x", "y", "z", "w"], ["Net Worth", "50", "40", "30"]], "lone": [["x", "y"], ["Net Worth", "70"]], "behind": [["No", "x", "y"], ["7", "Net Worth", "60"]]}
+    rows = [(1, 2, "financial_statements", t, "(₹ in lakh)", r, c, x) for t, lines in tables_.items() for r, line in enumerate(lines) for c, x in enumerate(line)]
+    cells = tables.inline(spark, "doc_id, page, section, table_id, caption, r, c, cell", rows)
+    got = {(r.table_id, r.c, r.y, r.resolved, round(r.value, 4)) for r in candidates.from_tables(cells, golden.docs(spark)).collect()}
+    assert got == {
+        ("named", 1, None, False, 0.04), ("named", 2, 2023, True, 90.0), ("named", 3, 2022, True, 80.0), ("bare", 1, 2023, False, 0.5), ("bare", 2, 2022, False, 0.4), ("bare", 3, None, False, 0.3),
+        ("lone", 1, 2023, True, 0.7), ("behind", 0, 2023, False, 0.07), ("behind", 2, 2022, False, 0.6),
+    }
+
+
+def test_many_labels_join(spark, monkeypatch):
+    """More matches than are held in a small table give the same rows."""
+    rows = lambda: sorted(map(str, candidates.from_tables(golden.cells(spark), golden.docs(spark), golden.pages(spark)).collect()))
+    few = rows()
+    monkeypatch.setattr(candidates, "HELD", 3)
+    assert rows() == few
+
+
+def test_best_is_first_of_ranked(spark):
+    t = trial.trial(tables.inline(spark, POOL, ROWS))
+    first = {(r.doc_id, r.metric, r.cid, r.court) for r in trial.ranked(t).where("place = 1").collect()}
+    assert {(r.doc_id, r.metric, r.cid, r.court) for r in trial.best(t).collect()} == first
+
+
+def test_plain_numbers(spark):
+    given = {"1,234.50": 1234.5, "12,34": 12.34, "1,23,456": 123456.0, "(5)": -5.0, "7": 7.0, "1,2,3": 123.0, " 1,000 ": 1000.0, "Total": None, "": None, "12,345,6": 123456.0, "0.5": 0.5}
+    got = {r.x: r.v for r in spark.createDataFrame([(x,) for x in given], "x string").select("x", numbers.parse_number(F.col("x")).alias("v")).collect()}
+    assert got == given
