@@ -32,13 +32,34 @@ def hits(label: Column, kind: Column) -> Column:
     return F.filter(F.array(*(first(m, p) for m, p in dims.ALIASES.items())), lambda x: x.isNotNull())
 
 
+def needed(pattern: str) -> str:
+    """The longest text, in lower case, that every match of an alias holds: what is left without groups, classes, escapes and letters that may lack. Looked for before the pattern."""
+    for part in (r"\\.[?*+]?", r"\((?:[^()]|\([^()]*\))*\)[?*+]?", r"\[[^\]]*\][?*+]?", r".[?*]", r"[.^$+]"):
+        pattern = re.sub(part, "\0", pattern)
+    return max(pattern.split("\0"), key=len).lower()
+
+
+def asked(texts: DataFrame, of: str, *keys: str) -> DataFrame:
+    """(keys, of, metric, types, ord, pattern): the aliases that match a text. What they need is asked for first, in one list of constants; only patterns whose need is met are tried."""
+    types, every = {m[0]: m[4] for m in dims.METRICS}, {}
+    for m, patterns in dims.ALIASES.items():
+        for i, p in enumerate(patterns):
+            every.setdefault(needed(p), []).append(F.struct(F.lit(m).alias("metric"), F.lit(types[m]).alias("types"), F.lit(i).alias("ord"), F.lit(f"(?i){p}").alias("pattern")))
+    needs = F.array(*(F.struct(F.lit(n).alias("needed"), F.array(*ps).alias("aliases")) for n, ps in every.items()))
+    met = texts.withColumn("_low", F.lower(of)).select(*keys, of, F.explode_outer(F.filter(needs, lambda x: F.contains(F.col("_low"), x["needed"]))).alias("_met"))
+    return met.select(*keys, of, F.explode("_met.aliases").alias("_alias")).select(*keys, of, "_alias.*").where(F.coalesce(F.rlike(of, F.col("pattern")), F.lit(False)))  # coalesced: else "is not null" is asked of every text before they are made distinct
+
+
 #: Matches of labels that are held in one small table; beyond them they join.
 HELD = 20_000
 
 
 def dictionary(texts: DataFrame, label: str) -> DataFrame:
     """(label, metric, ord, score, unit, low, high): what distinct texts match, of metrics of all types. Looked up at once: up to HELD matches become a small table, so that what is looked up in it need not move; more stay a plan."""
-    found = texts.select(label).distinct().select(label, F.explode(numbers.let(text.clean_label(F.col(label)), lambda x: hits(x, F.lit("")))).alias("m")).select(label, "m.*")
+    each = asked(texts.select(label).distinct().withColumn("_clean", text.clean_label(F.col(label))), "_clean", label)
+    excess = F.length("_clean") - F.length(F.call_function("regexp_extract", F.col("_clean"), F.col("pattern"), F.lit(0)))
+    found = each.groupBy(label, "metric").agg(F.min(F.struct("ord", excess.alias("excess"))).alias("m")).select(label, "metric", "m.*")
+    found = found.join(F.broadcast(dims.metrics(texts.sparkSession).select("metric", "unit", "low", "high")), "metric")  # 52 rows
     found = found.where(~F.contains(label, F.lit("%")) | F.col("unit").isin("percent", "ratio"))
     score = F.when(F.col("excess") <= 3, 100.0).otherwise(F.greatest(F.lit(70.0), 100.0 - 1.5 * F.col("excess")))
     found = found.select(label, "metric", "ord", score.alias("score"), "unit", "low", "high")
@@ -132,7 +153,7 @@ def from_tables(cells: DataFrame, docs: DataFrame, pages: DataFrame | None = Non
     t = t.join(docs, list(by))
     t = t.withColumn("on", F.lit(None).cast("struct<head:string>") if pages is None else F.get(F.filter("pages", lambda x: x["page"] == F.col("page")), F.lit(0)))
     kept = [*(F.col(f"on.{c}").alias(c) for c in of_page), *(c for c in also if c not in of_page)]
-    t = t.select(*place, "section", "kind", *kept, _scale(F.col("caption"), F.col("rows"), F.col("on.head")).alias("s"), F.explode(_rows(F.col("cells"), F.col("fy"))).alias("x"))
+    t = t.select(*place, "section", "kind", *kept, _scale(F.col("caption"), F.col("rows"), F.col("on.head")).alias("s"), F.explode_outer(_rows(F.col("cells"), F.col("fy"))).alias("x")).where("x is not null")
     t = t.select(*place, "section", "kind", *also, "s.scale", F.coalesce("s.foreign", F.lit(False)).alias("foreign"), "x.*")
     if drop_foreign:
         t = t.where("not foreign")
@@ -148,21 +169,13 @@ def from_tables(cells: DataFrame, docs: DataFrame, pages: DataFrame | None = Non
     )
 
 
-def needed(pattern: str) -> str:
-    """The longest text, in lower case, that every match of an alias holds: what is left without groups, classes, escapes and letters that may lack. Looked for before the pattern."""
-    for part in (r"\\.[?*+]?", r"\((?:[^()]|\([^()]*\))*\)[?*+]?", r"\[[^\]]*\][?*+]?", r".[?*]", r"[.^$+]"):
-        pattern = re.sub(part, "\0", pattern)
-    return max(pattern.split("\0"), key=len).lower()
-
-
 def from_lines(pages: DataFrame, docs: DataFrame, by: tuple[str, ...] = ("doc_id",), also: tuple[str, ...] = ()) -> DataFrame:
     """One candidate per metric and line: the first number within 90 characters after the alias, of the first alias that has one. also: columns of docs or pages to keep."""
     of_page = [c for c in also if c in pages.columns]
-    types = {m[0]: m[4] for m in dims.METRICS}
-    tail = lambda p: F.substring(F.col("line"), F.length(F.regexp_extract("line", f"(?s)^(.*?)(?:(?i){p})", 0)) + 1, F.lit(90))
-    each = [F.when(F.contains("low", F.lit(needed(p))) & F.col("line").rlike(f"(?i){p}"), F.struct(F.lit(m).alias("metric"), F.lit(types[m]).alias("types"), F.lit(i).alias("ord"), tail(p).alias("tail"))) for m, patterns in dims.ALIASES.items() for i, p in enumerate(patterns)]
-    ls = P.lines(pages, "body", *by, "page", *of_page).where(F.col("line").rlike(r"\d")).withColumn("low", F.lower("line"))
-    found = ls.select(*by, "page", *of_page, "line_no", F.explode(F.filter(F.array(*each), lambda x: x.isNotNull())).alias("m")).select(*by, "page", *of_page, "line_no", "m.*")
+    keys = [*by, "page", *of_page, "line_no"]
+    upto = F.length(F.call_function("regexp_extract", F.col("line"), F.concat(F.lit("(?s)^(.*?)(?:"), F.col("pattern"), F.lit(")")), F.lit(0)))
+    ls = P.lines(pages, "body", *by, "page", *of_page).where(F.col("line").rlike(r"\d"))
+    found = asked(ls, "line", *keys).select(*keys, "metric", "types", "ord", F.substring(F.col("line"), upto + 1, F.lit(90)).alias("tail"))
     found = found.join(docs.select(*by, "kind", *(c for c in also if c not in of_page)), list(by)).where(F.contains("types", F.col("kind")))
     found = found.withColumn("value", numbers.parse_number(F.regexp_extract("tail", r"\(?-?\d[\d,]*(?:\.\d+)?\)?", 0))).where("value is not null")
     return found.groupBy(*by, "page", "line_no", "metric", *also).agg(F.min_by("value", "ord").alias("value"))

@@ -280,3 +280,19 @@ def test_plain_numbers(spark):
     given = {"1,234.50": 1234.5, "12,34": 12.34, "1,23,456": 123456.0, "(5)": -5.0, "7": 7.0, "1,2,3": 123.0, " 1,000 ": 1000.0, "Total": None, "": None, "12,345,6": 123456.0, "0.5": 0.5}
     got = {r.x: r.v for r in spark.createDataFrame([(x,) for x in given], "x string").select("x", numbers.parse_number(F.col("x")).alias("v")).collect()}
     assert got == given
+
+
+def test_lines_ask_in_one_list(spark):
+    """Lines ask for all aliases in one list of constants, not in an expression per pattern."""
+    plan = candidates.from_lines(golden.pages(spark), golden.docs(spark))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RLIKE") < 20  # most are those of the section headings and of numbers; with a pattern each, what is shown of the plan has 36
+
+
+def test_first_alias_counts(spark):
+    """Of several aliases of a metric that match, a line's first with a number gives the value, a label's first the score."""
+    rows = [(1, 1, "Gross Advances and Total Advances of 500"), (1, 2, "no number of Total Assets"), (1, 3, "TOTAL ASSETS 7,000 and Total Assets 8,000")]
+    got = {(r.page, r.metric, r.value) for r in candidates.from_lines(spark.createDataFrame(rows, "doc_id long, page int, body string"), golden.docs(spark)).where("metric in ('gross_advances', 'total_assets')").collect()}
+    assert got == {(1, "gross_advances", 500.0), (3, "total_assets", 7000.0)}
+    labels = spark.createDataFrame([("Total Advances",), ("Advances %",), ("Gross Advances of the bank",)], "label string")
+    known = {(r.label, r.metric): (r.ord, r.score) for r in candidates.dictionary(labels, "label").where("metric = 'gross_advances'").collect()}
+    assert known == {("Total Advances", "gross_advances"): (1, 100.0), ("Gross Advances of the bank", "gross_advances"): (0, 82.0)}
