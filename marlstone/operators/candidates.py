@@ -255,9 +255,9 @@ def identified(pages: DataFrame, by: list[str], fuzzy_names: bool = True, also:
 
 
 def slipped(docs: DataFrame, by: list[str], least: float = 95.0) -> DataFrame:
-    """docs with i and confidence of those that have parts left: names of 12 letters or more that a text has nearly (ratio 95 or more), at 0.75 of the ratio by place. Only runs of as many words that share a word and a length (within one) with the name are compared."""
+    """docs with i and confidence of those that have parts left: names of 12 letters or more that a text, read to its end, has nearly (ratio 95 or more), at 0.75 of the ratio by place. Only runs of as many words that share a word and a length (within one) with the name are compared."""
     names = [(i, _key(n)) for i, _, n in _names() if len(_key(n)) >= 12]
-    keys = F.transform("parts", lambda x: F.trim(F.substring(_keyed(x["text"]), 1, 4000)))
+    keys = F.transform("parts", lambda x: F.trim(_keyed(x["text"])))
     best = text.nearest_run(names, least)(keys, F.transform("parts", lambda x: x["weight"]))
     found = docs.withColumn("b", F.when(F.col("parts").isNotNull(), best)).withColumn("near", F.coalesce(F.col("b.s") >= 45, F.lit(False)))
     return found.select(*by, "guess", F.when(F.col("near"), F.col("b.i")).otherwise(F.col("i")).alias("i"), F.when(F.col("near"), F.round("b.s", 4)).otherwise(F.col("confidence")).alias("confidence"))

@@ -170,6 +170,14 @@ def test_institutions_by_number_name_and_slip(spark):
     assert got[6][0] == "Canara Bank"
 
 
+def test_slips_are_found_at_the_end_of_long_texts(spark):
+    slip, prose = "Punjab National Banc", "our people had a good year " * 4000
+    six = lambda doc: [(doc, n, "Annual Report") for n in range(1, 7)]
+    rows = [(1, 1, f"{prose[:2700]}{slip}"), (2, 1, f"{prose[:3996]}{slip}"), (3, 1, f"{prose}\n{slip}"), *six(4), (4, 7, f"To the members of us\n{prose}\n{slip}"), *six(5), (5, 7, f"Notes\n{prose}{slip}"), *six(6), (6, 7, prose)]
+    got = {r.doc_id: (r.institution, r.confidence) for r in candidates.identified(tables.inline(spark, "doc_id, page, body", rows), ["doc_id"]).collect()}
+    assert got == {**{i: ("Punjab National Bank", c) for i, c in ((1, 71.25), (2, 71.25), (3, 71.25), (4, 64.125), (5, 49.875))}, 6: ("Annual Report", 0.0)}
+
+
 def test_bare_totals_and_foreign_tables(spark):
     rows = [("", 0, 0, "Particulars"), ("", 0, 1, "March 31, 2023"), ("", 1, 0, "Grand Total"), ("", 1, 1, "5,000"), ("", 2, 0, "Total Assets"), ("", 2, 1, "9,000"), ("", 3, 0, "Net Profit"), ("", 3, 1, "70")]
     cells = lambda caption: tables.inline(spark, "doc_id, page, section, table_id, caption, r, c, cell", [(1, 2, "financial_statements", "t", caption, *x[1:]) for x in rows])
